@@ -1,66 +1,54 @@
-"""Column helpers whose null, rounding and time rules differ from Spark's own functions."""
+"""Rounding, null and time rules that differ from Spark's own functions.
 
-from __future__ import annotations
+Helpers for wide projections take and return SQL text; the score's arithmetic uses columns.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Integers of the change logs are wide decimals: casting rounds halves away from zero.
 NUM38 = "decimal(38,0)"
 MONEY = "decimal(38,2)"
-EPOCH = "1970-01-01 00:00:00"
-
-
-def _all_present(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, [c.isNotNull() for c in columns])
-
-
-def strict_least(*columns: Column) -> Column:
-    """Smallest argument, NULL as soon as one argument is NULL."""
-    return F.when(_all_present(list(columns)), F.least(*columns))
-
-
-def strict_greatest(*columns: Column) -> Column:
-    """Largest argument, NULL as soon as one argument is NULL."""
-    return F.when(_all_present(list(columns)), F.greatest(*columns))
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
 def clamp(column: Column, low: float, high: float) -> Column:
-    """Limit to [low, high]; NULL stays NULL."""
+    """Limit to [low, high]; NULL stays NULL, which ``least`` and ``greatest`` alone would skip."""
     return F.when(column.isNotNull(), F.least(F.greatest(column, F.lit(low)), F.lit(high)))
 
 
-def safe_divide(numerator: Column, denominator: Column) -> Column:
+def add_days(date: Column, days: Column) -> Column:
+    """Date plus a rounded number of days (halves away from zero); stays a DATE."""
+    return F.date_add(date, F.round(days).cast("int"))
+
+
+def safe_divide(numerator: str, denominator: str) -> str:
     """Division that yields NULL for a zero divisor instead of an ANSI error."""
-    return numerator / F.nullif(denominator, F.lit(0).cast("int"))
+    return f"({numerator} / nullif({denominator}, 0))"
 
 
-def ntz_from_millis(millis: Column) -> Column:
+def ntz_from_millis(millis: str) -> str:
     """Epoch milliseconds as a zone-less timestamp, whatever the session zone is."""
-    return F.timestamp_add("MILLISECOND", millis.cast("bigint"), F.lit(EPOCH).cast("timestamp_ntz"))
+    return f"timestampadd(MILLISECOND, CAST({millis} AS BIGINT), {EPOCH})"
 
 
-def ntz_from_seconds(seconds: Column) -> Column:
+def ntz_from_seconds(seconds: str) -> str:
     """Epoch seconds as a zone-less timestamp, whatever the session zone is."""
-    return F.timestamp_add("SECOND", seconds.cast("bigint"), F.lit(EPOCH).cast("timestamp_ntz"))
+    return f"timestampadd(SECOND, CAST({seconds} AS BIGINT), {EPOCH})"
 
 
-def ntz_from_epoch_text(text: Column) -> Column:
+def ntz_from_epoch_text(text: str) -> str:
     """Epoch-millisecond text as a timestamp; anything but digits gives NULL."""
-    return F.when(text.rlike("^[0-9]+$"), ntz_from_millis(text))
+    return f"CASE WHEN {text} RLIKE '^[0-9]+$' THEN {ntz_from_millis(text)} END"
 
 
-def to_zone(zone: Column, timestamp: Column) -> Column:
+def to_zone(zone: str, timestamp: str) -> str:
     """UTC wall time as wall time in `zone`; NULL when the zone is unknown."""
-    return F.convert_timezone(F.lit("UTC"), zone, timestamp)
+    return f"convert_timezone('UTC', {zone}, {timestamp})"
 
 
-def second_boundaries(start_millis: Column, end_millis: Column) -> Column:
+def second_boundaries(start_millis: str, end_millis: str) -> str:
     """Whole-second boundaries crossed between two epoch-millisecond values."""
-    return F.floor(end_millis / 1000).cast("bigint") - F.floor(start_millis / 1000).cast("bigint")
-
-
-def add_days(date: Column, days: Column) -> Column:
-    """Date plus a rounded number of days (halves away from zero); stays a DATE."""
-    return F.date_add(date, F.round(days).cast("int"))
+    return f"CAST(floor({end_millis} / 1000) - floor({start_millis} / 1000) AS BIGINT)"

@@ -1,39 +1,34 @@
-"""Reading nested JSON text through VARIANT."""
+"""Reading nested JSON text through VARIANT. All arguments and results are SQL expressions as text,
+which keeps wide projections short to write and quick to build."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def parsed(text: str | Column) -> Column:
+def parsed(text: str) -> str:
     """JSON text as VARIANT; NULL for NULL or malformed text."""
-    return F.try_parse_json(text)
+    return f"try_parse_json({text})"
 
 
-def path_text(variant: Column, path: str) -> Column:
+def path_text(variant: str, path: str) -> str:
     """String at a path; a missing path and a JSON null both give NULL."""
-    return F.try_variant_get(variant, path, "string")
+    return f"try_variant_get({variant}, '{path}', 'string')"
 
 
-def path_as(variant: Column, path: str, data_type: str) -> Column:
+def path_as(variant: str, path: str, data_type: str) -> str:
     """Typed value at a path. A value that does not convert is an error, as in a plain cast."""
-    return F.variant_get(variant, path, data_type)
+    return f"variant_get({variant}, '{path}', '{data_type}')"
 
 
-def elements(variant: Column, path: str = "$") -> Column:
+def elements(variant: str, path: str = "$") -> str:
     """Elements of an array, or the member values of an object, as ARRAY<VARIANT>.
 
     The change logs store a list either as a JSON array or as an object with the keys
     ``_0``, ``_1``, ...; both give the same elements here. NULL when there is no such container.
     """
-    return F.coalesce(
-        F.try_variant_get(variant, path, "array<variant>"),
-        F.map_values(F.try_variant_get(variant, path, "map<string,variant>")),
-    )
+    return (f"coalesce(try_variant_get({variant}, '{path}', 'array<variant>'), "
+            f"map_values(try_variant_get({variant}, '{path}', 'map<string,variant>')))")
 
 
-def member_count(text: str) -> Column:
+def member_count(text: str) -> str:
     """Number of keys of a JSON object; NULL for NULL or non-object text."""
-    keys = F.json_object_keys(text)
-    return F.when(keys.isNotNull(), F.size(keys))
+    return f"if(json_object_keys({text}) IS NOT NULL, size(json_object_keys({text})), NULL)"

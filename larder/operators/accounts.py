@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.dialect import ntz_from_millis
@@ -14,10 +14,7 @@ ROLE_MODULES = ("Purchasing", "Accounts Payable", "Inventory", "Recipes")
 
 def demo_ids(buyers: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Ids that any version, however old, marks as a demo account."""
-    marked = [
-        source.filter(F.col("ISDEMOACCOUNT")).select(F.col("_ID").alias("demo_id"))
-        for source in (buyers, suppliers)
-    ]
+    marked = [s.filter("ISDEMOACCOUNT").selectExpr("_ID AS demo_id") for s in (buyers, suppliers)]
     return marked[0].unionByName(marked[1]).distinct()
 
 
@@ -28,36 +25,33 @@ def _live_buyers(buyers: DataFrame, demo: DataFrame, nested: list[str]) -> DataF
     latest version. Among texts of equal length text order is numeric order, so the smallest text
     per length is enough, and the versions are reduced to that before the shuffle.
     """
-    live = not_in(buyers.filter(~F.col("ISDEMOACCOUNT") & ~F.col("ISDELETED")), "_ID", demo).select(
+    live = not_in(buyers.filter("NOT ISDEMOACCOUNT AND NOT ISDELETED"), "_ID", demo).selectExpr(
         "_ID", "UPDATEDATETIME", "__TS_MS", *nested,
-        path_text(parsed("RECORD_METADATA"), "$.CreateTime").alias("_created"),
+        f"{path_text(parsed('RECORD_METADATA'), '$.CreateTime')} AS _created",
     )
     smallest = (
-        live.filter(F.col("_created").isNotNull())
-        .groupBy(F.col("_ID").alias("_key"), F.length("_created").alias("_digits"))
+        live.filter("_created IS NOT NULL")
+        .groupBy(F.expr("_ID AS _key"), F.expr("length(_created)"))
         .agg(F.min("_created").alias("_first"))
         .groupBy("_key")
         .agg(F.collect_list("_first").alias("_firsts"))
     )
-    not_later = F.filter("_firsts", lambda t: F.col("_created").isNull() | (t <= F.col("_created")))
-    first_millis = F.array_min(F.transform(not_later, lambda t: t.cast("bigint")))
+    first_millis = (
+        "array_min(transform(filter(_firsts, t -> _created IS NULL OR t <= _created), t -> CAST(t AS BIGINT)))"
+    )
     return (
         latest_version(live, "_ID")
-        .join(smallest, F.col("_ID").eqNullSafe(F.col("_key")), "left")
-        .withColumn("buyer_created_at", ntz_from_millis(first_millis))
-        .drop("_key", "_firsts", "_created")
+        .join(smallest, F.expr("_ID <=> _key"), "left")
+        .selectExpr("_ID", "UPDATEDATETIME", *nested, f"{ntz_from_millis(first_millis)} AS buyer_created_at")
     )
 
 
 def chain(chains: DataFrame) -> DataFrame:
     """Latest version of every chain; ties on the update time are broken by name."""
     newest = latest_version(chains, "_ID", ("UPDATEDATETIME", F.col("NAME").asc_nulls_last()))
-    return newest.select(
-        F.col("_ID").alias("chain_id"),
-        F.col("NAME").alias("chain_name"),
-        F.col("CREATEDATETIME").alias("create_datetime"),
-        F.col("ISDISABLED").alias("is_disabled"),
-        F.col("ISDEMO").alias("is_demo"),
+    return newest.selectExpr(
+        "_ID AS chain_id", "NAME AS chain_name", "CREATEDATETIME AS create_datetime", "ISDISABLED AS is_disabled",
+        "ISDEMO AS is_demo",
     )
 
 
@@ -71,48 +65,33 @@ def buyer_department_outlet(buyers: DataFrame, demo: DataFrame, chains: DataFram
         ["CHAINID", "NAME", "ADDRESS", "TIMEZONE", "CREATEDATETIME", "DELETEDATETIME",
          "BUYERDEPARTMENTS", "ALLOWEDAUTHROLESIDS", "ISDISABLED"],
     )
-    departments = F.coalesce(elements(parsed("BUYERDEPARTMENTS")), F.array().cast("array<variant>"))
-    outlets = F.flatten(
-        F.transform(
-            departments,
-            lambda d: F.transform(
-                F.coalesce(elements(d, "$.Outlets"), F.array().cast("array<variant>")),
-                lambda o: F.struct(d.alias("department"), o.alias("outlet")),
-            ),
-        )
-    )
-    address = parsed("ADDRESS")
-    rows = live.select(
-        F.col("CHAINID").alias("chain_id"),
-        F.col("_ID").alias("buyer_id"),
-        "buyer_created_at",
-        F.col("DELETEDATETIME").alias("buyer_deleted_at"),
-        F.col("NAME").alias("buyer_name"),
-        path_text(address, "$.City").alias("buyer_city"),
-        path_text(address, "$.Country").alias("buyer_country"),
-        path_text(parsed("TIMEZONE"), "$._id").alias("timezone"),
-        F.col("CREATEDATETIME").alias("time_created"),
-        F.col("UPDATEDATETIME").alias("time_updated"),
-        F.col("ALLOWEDAUTHROLESIDS").alias("allowedauthrolesids"),
-        F.col("ISDISABLED").alias("isdisabled"),
-        F.explode_outer(outlets).alias("_unit"),
+    outlets = f"""flatten(transform({elements(parsed('BUYERDEPARTMENTS'))},
+        d -> transform({elements('d', '$.Outlets')}, o -> struct(d AS department, o AS outlet))))"""
+    rows = live.selectExpr(
+        "CHAINID AS chain_id", "_ID AS buyer_id", "buyer_created_at", "DELETEDATETIME AS buyer_deleted_at",
+        "NAME AS buyer_name",
+        f"{path_text(parsed('ADDRESS'), '$.City')} AS buyer_city",
+        f"{path_text(parsed('ADDRESS'), '$.Country')} AS buyer_country",
+        f"{path_text(parsed('TIMEZONE'), '$._id')} AS timezone",
+        "CREATEDATETIME AS time_created", "UPDATEDATETIME AS time_updated",
+        "ALLOWEDAUTHROLESIDS AS allowedauthrolesids", "ISDISABLED AS isdisabled",
+        f"explode_outer({outlets}) AS _unit",
     )
-    department, outlet = F.col("_unit.department"), F.col("_unit.outlet")
-    named = chains.select(
-        F.col("chain_id").alias("_chain"), "chain_name",
-        F.col("is_disabled").alias("is_disabled_chain"), F.col("is_demo").alias("is_demo_chain"),
+    named = chains.selectExpr(
+        "chain_id AS _chain", "chain_name", "is_disabled AS is_disabled_chain", "is_demo AS is_demo_chain"
     )
-    return rows.join(named, F.col("chain_id") == F.col("_chain"), "left").select(
+    department, outlet = "_unit.department", "_unit.outlet"
+    return rows.join(named, F.expr("chain_id = _chain"), "left").selectExpr(
         "chain_id", "buyer_id", "buyer_created_at", "buyer_deleted_at",
-        path_text(department, "$._id").alias("department_id"),
-        path_text(outlet, "$._id").alias("outlet_id"),
+        f"{path_text(department, '$._id')} AS department_id",
+        f"{path_text(outlet, '$._id')} AS outlet_id",
         "chain_name", "buyer_name",
-        path_text(department, "$.Name").alias("department_name"),
-        path_text(outlet, "$.Name").alias("outlet_name"),
+        f"{path_text(department, '$.Name')} AS department_name",
+        f"{path_text(outlet, '$.Name')} AS outlet_name",
         "buyer_city", "buyer_country", "timezone", "time_created", "time_updated",
-        path_text(outlet, "$.Code").alias("code_outlet"),
-        path_text(outlet, "$.Description").alias("description_outlet"),
-        path_text(outlet, "$.Budget.Value").alias("budget_value_outlet"),
+        f"{path_text(outlet, '$.Code')} AS code_outlet",
+        f"{path_text(outlet, '$.Description')} AS description_outlet",
+        f"{path_text(outlet, '$.Budget.Value')} AS budget_value_outlet",
         "allowedauthrolesids", "isdisabled", "is_disabled_chain", "is_demo_chain",
     )
 
@@ -125,21 +104,19 @@ def buyer_timezone(hierarchy: DataFrame) -> DataFrame:
 def buyer_user_stage(buyers: DataFrame, demo: DataFrame) -> DataFrame:
     """Users of live buyers, one row per outlet; a user without outlets vanishes."""
     live = _live_buyers(buyers, demo, ["CHAINID", "USERS"])
-    users = live.select(
-        F.col("_ID").alias("buyer_id"), "buyer_created_at", F.col("CHAINID").alias("chain_id"),
-        F.explode(elements(parsed("USERS"))).alias("_user"),
+    users = live.selectExpr(
+        "_ID AS buyer_id", "buyer_created_at", "CHAINID AS chain_id",
+        f"explode({elements(parsed('USERS'))}) AS _user",
     )
-    user = F.col("_user")
-    outlets = users.withColumn("_outlet", F.explode(elements(user, "$.OutletsIds")))
-    return outlets.select(
-        path_text(user, "$._id").alias("user_id"),
-        path_text(F.col("_outlet"), "$").alias("outlet_id"),
+    return users.selectExpr("*", f"explode({elements('_user', '$.OutletsIds')}) AS _outlet").selectExpr(
+        f"{path_text('_user', '$._id')} AS user_id",
+        f"{path_text('_outlet', '$')} AS outlet_id",
         "buyer_id", "buyer_created_at", "chain_id",
-        path_text(user, "$.FirstName").alias("firstname"),
-        path_text(user, "$.LastName").alias("lastname"),
-        path_text(user, "$.ContactInfo.Email").alias("email"),
-        path_text(user, "$.ContactInfo.Tel").alias("phone"),
-        path_text(user, "$.JobTitle").alias("jobtitle"),
+        f"{path_text('_user', '$.FirstName')} AS firstname",
+        f"{path_text('_user', '$.LastName')} AS lastname",
+        f"{path_text('_user', '$.ContactInfo.Email')} AS email",
+        f"{path_text('_user', '$.ContactInfo.Tel')} AS phone",
+        f"{path_text('_user', '$.JobTitle')} AS jobtitle",
     )
 
 
@@ -155,29 +132,23 @@ def buyer(hierarchy: DataFrame, roles: DataFrame) -> DataFrame:
     """
     carried = ["chain_id", "buyer_id", "buyer_name", "buyer_created_at", "buyer_city",
                "buyer_country", "timezone", "isdisabled", "allowedauthrolesids"]
-    no_role = F.array(F.lit(None).cast("string"))
-    role_ids = F.when(member_count("allowedauthrolesids") == 0, no_role).otherwise(
-        F.transform(elements(parsed("allowedauthrolesids")), lambda v: path_text(v, "$"))
-    )
+    role_ids = f"""CASE WHEN {member_count('allowedauthrolesids')} = 0 THEN array(CAST(NULL AS STRING))
+        ELSE transform({elements(parsed('allowedauthrolesids'))}, r -> {path_text('r', '$')}) END"""
     held = (
         hierarchy.select(*carried).distinct()
-        .withColumn("_role", F.explode(role_ids)).drop("allowedauthrolesids")
+        .selectExpr(*carried[:-1], f"explode({role_ids}) AS _role")
     )
-    modules = roles.select(F.col("Id").alias("_role_id"), F.col("Module").alias("_module"))
-
-    def opens(module: str) -> Column:
-        return F.coalesce(F.bool_or(F.col("_module") == module), F.lit(False))
-
+    modules = roles.selectExpr("Id AS _role_id", "Module AS _module")
+    flags = [
+        F.expr(f"coalesce(bool_or(_module = '{m}'), false) AS {m.lower().replace(' ', '_')}") for m in ROLE_MODULES
+    ]
     return (
-        held.join(modules, F.col("_role") == F.col("_role_id"), "left")
+        held.join(modules, F.expr("_role = _role_id"), "left")
         .groupBy("chain_id", "buyer_id", "buyer_name")
         .agg(
             F.min("buyer_created_at").alias("buyer_created_at"),
-            F.max("buyer_city").alias("buyer_city"),
-            F.max("buyer_country").alias("buyer_country"),
-            F.max("timezone").alias("timezone"),
-            F.max("isdisabled").alias("isdisabled"),
-            *[opens(m).alias(m.lower().replace(" ", "_")) for m in ROLE_MODULES],
+            *[F.max(c).alias(c) for c in ("buyer_city", "buyer_country", "timezone", "isdisabled")],
+            *flags,
         )
     )
 

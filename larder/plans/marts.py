@@ -28,9 +28,16 @@ class Marts:
     """Every operator applied to the raw inputs that `raw(name)` delivers, computed on demand."""
 
     def __init__(self, raw: Callable[[str], DataFrame], as_of: dt.date):
-        self.raw = raw
+        self._inputs: dict[str, DataFrame] = {}
+        self._read = raw
         self.as_of = as_of
 
+    def raw(self, name: str) -> DataFrame:
+        """A raw input; operators that share one share its plan."""
+        if name not in self._inputs:
+            self._inputs[name] = self._read(name)
+        return self._inputs[name]
+
     @cached_property
     def demo_ids(self) -> DataFrame:
         return accounts.demo_ids(self.raw("buyers"), self.raw("suppliers"))
