@@ -65,9 +65,9 @@ def buyer_department_outlet(buyers: DataFrame, demo: DataFrame, chains: DataFram
         ["CHAINID", "NAME", "ADDRESS", "TIMEZONE", "CREATEDATETIME", "DELETEDATETIME",
          "BUYERDEPARTMENTS", "ALLOWEDAUTHROLESIDS", "ISDISABLED"],
     )
-    outlets = f"""flatten(transform({elements(parsed('BUYERDEPARTMENTS'))},
+    outlets = f"""flatten(transform({elements('_departments')},
         d -> transform({elements('d', '$.Outlets')}, o -> struct(d AS department, o AS outlet))))"""
-    rows = live.selectExpr(
+    rows = live.selectExpr("*", f"{parsed('BUYERDEPARTMENTS')} AS _departments").selectExpr(
         "CHAINID AS chain_id", "_ID AS buyer_id", "buyer_created_at", "DELETEDATETIME AS buyer_deleted_at",
         "NAME AS buyer_name",
         f"{path_text(parsed('ADDRESS'), '$.City')} AS buyer_city",
@@ -105,9 +105,8 @@ def buyer_user_stage(buyers: DataFrame, demo: DataFrame) -> DataFrame:
     """Users of live buyers, one row per outlet; a user without outlets vanishes."""
     live = _live_buyers(buyers, demo, ["CHAINID", "USERS"])
     users = live.selectExpr(
-        "_ID AS buyer_id", "buyer_created_at", "CHAINID AS chain_id",
-        f"explode({elements(parsed('USERS'))}) AS _user",
-    )
+        "_ID AS buyer_id", "buyer_created_at", "CHAINID AS chain_id", f"{parsed('USERS')} AS _users"
+    ).selectExpr("buyer_id", "buyer_created_at", "chain_id", f"explode({elements('_users')}) AS _user")
     return users.selectExpr("*", f"explode({elements('_user', '$.OutletsIds')}) AS _outlet").selectExpr(
         f"{path_text('_user', '$._id')} AS user_id",
         f"{path_text('_outlet', '$')} AS outlet_id",

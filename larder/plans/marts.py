@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from larder.operators import accounts, checks, clickstream, clusters, daily, desertion
 from larder.operators import documents, inventory, orders, suppliers
-from larder.sources.tables import write_table
+from larder.sources.tables import staged, write_table
 
 # Tables that are stored; everything else stays a view.
 BASE_TABLES = ["buyer", "buyer_group", "buyer_outlet", "buyer_user", "document_unified", "document_header",
@@ -29,6 +29,7 @@ class Marts:
 
     def __init__(self, raw: Callable[[str], DataFrame], as_of: dt.date):
         self._inputs: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
         self._read = raw
         self.as_of = as_of
 
@@ -38,6 +39,12 @@ class Marts:
             self._inputs[name] = self._read(name)
         return self._inputs[name]
 
+    def stored(self, name: str) -> DataFrame:
+        """A table that several others read, written once instead of computed for each of them."""
+        if name not in self._stored:
+            self._stored[name] = staged(getattr(self, name), name)
+        return self._stored[name]
+
     @cached_property
     def demo_ids(self) -> DataFrame:
         return accounts.demo_ids(self.raw("buyers"), self.raw("suppliers"))
@@ -48,15 +55,15 @@ class Marts:
 
     @cached_property
     def buyer_department_outlet(self) -> DataFrame:
-        return accounts.buyer_department_outlet(self.raw("buyers"), self.demo_ids, self.chain)
+        return accounts.buyer_department_outlet(self.raw("buyers"), self.stored("demo_ids"), self.chain)
 
     @cached_property
     def buyer_timezone(self) -> DataFrame:
-        return accounts.buyer_timezone(self.buyer_department_outlet)
+        return accounts.buyer_timezone(self.stored("buyer_department_outlet"))
 
     @cached_property
     def buyer_user_stage(self) -> DataFrame:
-        return accounts.buyer_user_stage(self.raw("buyers"), self.demo_ids)
+        return accounts.buyer_user_stage(self.raw("buyers"), self.stored("demo_ids"))
 
     @cached_property
     def role_mapping(self) -> DataFrame:
@@ -64,15 +71,15 @@ class Marts:
 
     @cached_property
     def buyer(self) -> DataFrame:
-        return accounts.buyer(self.buyer_department_outlet, self.role_mapping)
+        return accounts.buyer(self.stored("buyer_department_outlet"), self.role_mapping)
 
     @cached_property
     def buyer_group(self) -> DataFrame:
-        return accounts.buyer_group(self.buyer_department_outlet)
+        return accounts.buyer_group(self.stored("buyer_department_outlet"))
 
     @cached_property
     def buyer_outlet(self) -> DataFrame:
-        return accounts.buyer_outlet(self.buyer_department_outlet)
+        return accounts.buyer_outlet(self.stored("buyer_department_outlet"))
 
     @cached_property
     def buyer_user(self) -> DataFrame:
@@ -80,11 +87,11 @@ class Marts:
 
     @cached_property
     def order_header_stage(self) -> DataFrame:
-        return orders.order_header_stage(self.raw("orders"), self.demo_ids, self.buyer_timezone)
+        return orders.order_header_stage(self.raw("orders"), self.stored("demo_ids"), self.stored("buyer_timezone"))
 
     @cached_property
     def order_line_stage(self) -> DataFrame:
-        return orders.order_line_stage(self.raw("orders"), self.demo_ids)
+        return orders.order_line_stage(self.raw("orders"), self.stored("demo_ids"))
 
     @cached_property
     def order_unified(self) -> DataFrame:
@@ -100,11 +107,11 @@ class Marts:
 
     @cached_property
     def document_header_stage(self) -> DataFrame:
-        return documents.document_header_stage(self.raw("documents"), self.demo_ids, self.buyer_timezone)
+        return documents.document_header_stage(self.raw("documents"), self.stored("demo_ids"), self.stored("buyer_timezone"))
 
     @cached_property
     def document_line_stage(self) -> DataFrame:
-        return documents.document_line_stage(self.raw("documents"), self.demo_ids)
+        return documents.document_line_stage(self.raw("documents"), self.stored("demo_ids"))
 
     @cached_property
     def document_unified(self) -> DataFrame:
@@ -120,11 +127,11 @@ class Marts:
 
     @cached_property
     def inventory_header_stage(self) -> DataFrame:
-        return inventory.inventory_header_stage(self.raw("inventory_counts"), self.demo_ids, self.buyer_timezone)
+        return inventory.inventory_header_stage(self.raw("inventory_counts"), self.stored("demo_ids"), self.stored("buyer_timezone"))
 
     @cached_property
     def inventory_line_stage(self) -> DataFrame:
-        return inventory.inventory_line_stage(self.raw("inventory_counts"), self.demo_ids)
+        return inventory.inventory_line_stage(self.raw("inventory_counts"), self.stored("demo_ids"))
 
     @cached_property
     def inventory_unified(self) -> DataFrame:
@@ -140,11 +147,11 @@ class Marts:
 
     @cached_property
     def supplier_stage(self) -> DataFrame:
-        return suppliers.supplier_stage(self.raw("supplier_groups"), self.demo_ids)
+        return suppliers.supplier_stage(self.raw("supplier_groups"), self.stored("demo_ids"))
 
     @cached_property
     def supplier_buyer(self) -> DataFrame:
-        return suppliers.supplier_buyer(self.raw("links"), self.demo_ids)
+        return suppliers.supplier_buyer(self.raw("links"), self.stored("demo_ids"))
 
     @cached_property
     def supplier_contact(self) -> DataFrame:
@@ -201,7 +208,7 @@ class Marts:
 
     @cached_property
     def desertion_metrics(self) -> DataFrame:
-        return desertion.desertion_metrics(self.daily_buyer)
+        return desertion.desertion_metrics(self.stored("daily_buyer"))
 
     @cached_property
     def buyer_outlet_features(self) -> DataFrame:
@@ -213,7 +220,7 @@ class Marts:
 
     @cached_property
     def hierarchy_checks(self) -> DataFrame:
-        return checks.hierarchy_checks(self.buyer_department_outlet)
+        return checks.hierarchy_checks(self.stored("buyer_department_outlet"))
 
     def store(self, folder: str) -> None:
         """Full refresh: views are registered, base tables and marts written below `folder`.
@@ -224,5 +231,7 @@ class Marts:
         for name in VIEWS[:-1]:
             getattr(self, name).createOrReplaceTempView(name)
         for name in BASE_TABLES + MART_TABLES:
-            setattr(self, name, write_table(getattr(self, name), f"{folder}/{name}"))
+            table = write_table(getattr(self, name), f"{folder}/{name}")
+            setattr(self, name, table)
+            self._stored[name] = table
         self.non_active_buyers.createOrReplaceTempView("non_active_buyers")

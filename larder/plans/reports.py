@@ -14,6 +14,8 @@ from larder.plans.marts import BASE_TABLES, VIEWS, Marts
 from larder.sources.testshape import AS_OF, TestShape
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Added to sums before rounding: exact halves then do not depend on the order of addition.
+OFF_TIES = 0.0001234
 EVENT_COLUMNS_WITHOUT_DATA = [
     "test3", "country_code", "mp_lib", "mp_sent_by_lib_version", "search_term", "city", "current_url",
     "properties_device_id", "initial_referrer", "initial_referring_domain", "properties_insert_id",
@@ -41,12 +43,14 @@ def marts(spark: SparkSession, folder: str) -> Marts:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals and doubles rounded to six digits, dates and times as text."""
+    """Decimals and doubles rounded to six digits, sums of outlet weights to the nine they have,
+    dates and times as text."""
 
     def plain(field: T.StructField) -> Column:
         column = F.col(field.name)
         if isinstance(field.dataType, (T.DecimalType, T.DoubleType)):
-            column = F.round(column.cast("double"), 6)
+            digits = desertion.WEIGHT_DIGITS if field.name.startswith("pre_buyer_") else 6
+            column = F.round(column.cast("double"), digits)
         elif isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
             column = column.cast("string")
         return column.alias(field.name.lower())
@@ -62,7 +66,7 @@ def digest(df: DataFrame, columns: list[str]) -> DataFrame:
         if isinstance(df.schema[name].dataType, T.DateType):
             total = F.sum(F.datediff(column, F.lit("2000-01-01").cast("date")))
         else:
-            total = F.round(F.sum(column).cast("double"), 4)
+            total = F.round(F.sum(column).cast("double") + OFF_TIES, 3)
         parts += [F.count(column).alias(f"{name}_rows"), total.alias(name)]
     return df.groupBy("buyer_id", "outlet_id").agg(
         F.max("chain_name").alias("chain_name"), F.max("outlet_name").alias("outlet_name"),
@@ -75,19 +79,19 @@ def _each(*patterns: str) -> list[str]:
 
 
 def calendar(m: Marts) -> DataFrame:
-    return digest(desertion.calendar(m.daily_buyer), [*MEASURES, "create_datetime", *_each("previous_{}_date")])
+    return digest(desertion.calendar(m.stored("daily_buyer")), [*MEASURES, "create_datetime", *_each("previous_{}_date")])
 
 
 def activity_deltas(m: Marts) -> DataFrame:
-    days = desertion.deltas(desertion.calendar(m.daily_buyer))
+    days = desertion.deltas(desertion.calendar(m.stored("daily_buyer")))
     return digest(days, [*_each("{}_delta"), "period_days_from_minimum", "window_days", "create_datetime"])
 
 
 def _graded(m: Marts) -> DataFrame:
     """Graded calendar of every unit; units without a buyer id have no grades."""
-    known = desertion.deltas(desertion.known_calendar(m.daily_buyer))
+    known = desertion.deltas(desertion.known_calendar(m.stored("daily_buyer")))
     graded = desertion.outlet_grades(desertion.predictions(desertion.medians(known)))
-    unknown = desertion.deltas(desertion.unknown_calendar(m.daily_buyer).withColumns(
+    unknown = desertion.deltas(desertion.unknown_calendar(m.stored("daily_buyer")).withColumns(
         {c: F.lit(None).cast("date") for c in _each("previous_{}_date")}))
     return graded.unionByName(unknown, allowMissingColumns=True)
 
@@ -102,7 +106,7 @@ def outlet_grades(m: Marts) -> DataFrame:
 
 
 def _known_graded(m: Marts) -> DataFrame:
-    days = desertion.deltas(desertion.known_calendar(m.daily_buyer))
+    days = desertion.deltas(desertion.known_calendar(m.stored("daily_buyer")))
     return desertion.outlet_grades(desertion.predictions(desertion.medians(days)))
 
 
@@ -117,7 +121,7 @@ def buyer_days(m: Marts) -> DataFrame:
     return days.groupBy("buyer_id").agg(
         F.count(F.lit(1)).alias("days"),
         *[f(c) for c in grades for f in (
-            lambda c: F.count(c).alias(f"{c}_rows"), lambda c: F.round(F.sum(c), 4).alias(c))],
+            lambda c: F.count(c).alias(f"{c}_rows"), lambda c: F.round(F.sum(c) + OFF_TIES, 3).alias(c))],
     )
 
 
