@@ -14,11 +14,6 @@ MONEY = "decimal(38,2)"
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
-def clamp(column: Column, low: float, high: float) -> Column:
-    """Limit to [low, high]; NULL stays NULL, which ``least`` and ``greatest`` alone would skip."""
-    return F.when(column.isNotNull(), F.least(F.greatest(column, F.lit(low)), F.lit(high)))
-
-
 def add_days(date: Column, days: Column) -> Column:
     """Date plus a rounded number of days (halves away from zero); stays a DATE."""
     return F.date_add(date, F.round(days).cast("int"))

@@ -40,12 +40,6 @@ def test_not_in_follows_sql(spark, listed, kept):
     assert {r.k for r in spark.sql("SELECT k FROM rows WHERE k NOT IN (SELECT demo_id FROM ids)").collect()} == kept
 
 
-def test_clamp_keeps_null(spark):
-    row = spark.sql("SELECT CAST(NULL AS DOUBLE) a, 50.0D b, -50.0D c").select(
-        *[dialect.clamp(F.col(c), -40.0, 40.0).alias(c) for c in "abc"]).first()
-    assert tuple(row) == (None, 40.0, -40.0)
-
-
 def test_integers_round_halves_away_from_zero(spark):
     get = variants.path_as("try_parse_json(j)", "$.v", dialect.NUM38)
     rows = """VALUES ('{"v": 2.5}'), ('{"v": "2.7"}'), ('{"v": -2.5}'), ('{"v": null}'), ('{}') t(j)"""
