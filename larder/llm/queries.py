@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, exact_dedup, line_quality, packing, simhash
+from larder.llm import bpe, exact_dedup, line_quality, packing, pii, simhash
 from larder.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.rewrite(table(spark, folder, "documents")).select("row.doc_id", "text", "n_replaced")
+
+
 def op2_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.measure(table(spark, folder, "documents"))
 
@@ -35,7 +39,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name to a function of (session, folder of test tables)."""
-    return {f.__name__: f for f in (op2_line_quality, op3_simhash, op6_exact_dedup, op8_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op6_exact_dedup, op8_packing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
