@@ -7,6 +7,7 @@ Repeated rows are judged alike. Input columns beyond the id and the text are car
 
 from __future__ import annotations
 
+import operator
 import re
 from collections import Counter
 
@@ -28,6 +29,8 @@ MAX_SHOUT_PERCENT = 10
 # A line fails the navigation rule when bars or arrows stand at more than this share of its words.
 MAX_SEPARATOR_PERCENT = 20
 SEPARATORS = "|»›"
+# A line fails the stutter rule when more than this share of its words repeat the word before them.
+MAX_STUTTER_PERCENT = 30
 # A text is rejected when the dropped lines hold more than this share of its words.
 MAX_LOST_PERCENT = 30
 # Phrases of pages' frames, matched in lines of at most BOILERPLATE_WORDS words.
@@ -45,8 +48,9 @@ FIELDS = [
 ]
 
 
-def line_fails(line: str, words: int) -> bool:
-    """Whether a line with that many words breaks the punctuation, navigation or boilerplate rule."""
+def line_fails(line: str, tokens: list[bytes]) -> bool:
+    """Whether a line with these words breaks the punctuation, navigation, stutter or boilerplate rule."""
+    words = len(tokens)
     letters = len(line) - sum(map(line.count, SPACES))
     if 100 * sum(map(line.count, SYMBOLS)) > MAX_SYMBOL_PERCENT * letters:
         return True
@@ -54,6 +58,8 @@ def line_fails(line: str, words: int) -> bool:
         return True
     if 100 * sum(map(line.count, SEPARATORS)) > MAX_SEPARATOR_PERCENT * words:
         return True
+    if 100 * sum(map(operator.eq, tokens, tokens[1:])) > MAX_STUTTER_PERCENT * words:
+        return True
     return words <= BOILERPLATE_WORDS and _BOILERPLATE.search(line.lower()) is not None
 
 
@@ -79,18 +85,18 @@ def judge(text: str) -> tuple[list, str]:
     copies = failed = lost = 0
     left = []
     for line in text.split("\n"):
-        here = len(line.encode().split())
+        here = line.encode().split()
         if here:
             copies += line in seen
             seen.add(line)
             if line_fails(line, here):
                 failed += 1
-                lost += here
+                lost += len(here)
                 continue
         left.append(line)
     repeated = repeated_words(words)
     base_failed = n_words < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n_words
-    kept = not base_failed and n_words - lost >= MIN_WORDS and 100 * lost <= MAX_LOST_PERCENT * n_words
+    kept = not base_failed and 100 * lost <= MAX_LOST_PERCENT * n_words
     values = [n_words, len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), copies, repeated,
               failed, lost, base_failed, kept]
     return values, "\n".join(left)
@@ -150,6 +156,9 @@ f AS (SELECT *, list_filter(full_lines, lambda x:
             > {MAX_SHOUT_PERCENT} * length(regexp_replace(x, '[\\x20\\x09-\\x0D]', '', 'g'))
         OR 100 * length(regexp_replace(x, '[^{SEPARATORS}]', '', 'g'))
             > {MAX_SEPARATOR_PERCENT} * len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'))
+        OR 100 * len(list_filter(list_zip(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'),
+                                          regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')[2:]), lambda p: p[1] = p[2]))
+            > {MAX_STUTTER_PERCENT} * len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'))
         OR (len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) <= {BOILERPLATE_WORDS}
             AND regexp_matches(lower(x), '{phrases}'))) AS bad FROM l),
 m AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
@@ -161,6 +170,5 @@ b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PE
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        n_failed_lines::BIGINT AS n_failed_lines, n_lost_words::BIGINT AS n_lost_words, base_failed,
-       NOT base_failed AND n_words - n_lost_words >= {MIN_WORDS}
-           AND 100 * n_lost_words <= {MAX_LOST_PERCENT} * n_words AS kept
+       NOT base_failed AND 100 * n_lost_words <= {MAX_LOST_PERCENT} * n_words AS kept
 FROM b"""
