@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, exact_dedup, line_quality, packing, pii, simhash
+from larder.llm import bpe, exact_dedup, line_quality, packing, pii, simhash, url_filter
 from larder.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.groups(table(spark, folder, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return exact_dedup.resolve(docs, exact_dedup.first_half(docs))
@@ -39,9 +43,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name to a function of (session, folder of test tables)."""
-    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op6_exact_dedup, op8_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op6_exact_dedup, op8_packing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op2_line_quality": line_quality.sql(), "op6_exact_dedup": exact_dedup.sql()}
+    return {"op2_line_quality": line_quality.sql(), "op4_url_filter": url_filter.sql(),
+            "op6_exact_dedup": exact_dedup.sql()}
