@@ -276,8 +276,9 @@ def groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     firsts = linked.join(distinct, F.col("node") == F.col("fingerprint")).select("node", "root", "first_id")
     smallest = firsts.groupBy("root").agg(F.min("first_id").alias("component"))
     named = firsts.join(smallest, "root").select(F.col("node").alias("fingerprint"), "component")
-    ids = distinct.join(named, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component", "first_id").alias("component_id"))
+    # Written, so that both sides of the last join are shuffled for it alone and a hot fingerprint can be split.
+    ids = staged(distinct.join(named, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("component", "first_id").alias("component_id")), "components")
     return rows.join(ids, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
