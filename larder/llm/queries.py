@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, exact_dedup, line_quality, packing, pii, simhash, url_filter
+from larder.llm import bpe, exact_dedup, line_quality, mil, packing, pii, simhash, url_filter
 from larder.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"))
 
 
+def op5_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return mil.score(docs, mil.train(docs, table(spark, folder, "labels")))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return exact_dedup.resolve(docs, exact_dedup.first_half(docs))
@@ -43,7 +48,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name to a function of (session, folder of test tables)."""
-    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op6_exact_dedup, op8_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op5_quality_mil, op6_exact_dedup, op8_packing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
