@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, exact_dedup, line_quality, mil, packing, pii, simhash, url_filter
+from larder.llm import bpe, exact_dedup, line_quality, maxent, mil, packing, pii, simhash, url_filter
 from larder.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.resolve(docs, exact_dedup.first_half(docs))
 
 
+def op7_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.train_and_score(table(spark, folder, "documents"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), bpe.default_path())
 
@@ -48,7 +52,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name to a function of (session, folder of test tables)."""
-    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op5_quality_mil, op6_exact_dedup, op8_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op5_quality_mil, op6_exact_dedup, op7_maxent, op8_packing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
