@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, exact_dedup, line_quality, maxent, mil, packing, pii, simhash, url_filter
+from larder.llm import bpe, exact_dedup, langid, line_quality, maxent, mil, packing, pii, simhash, url_filter
 from larder.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,13 +46,18 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), bpe.default_path())
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), bpe.default_path())
 
 
 def queries() -> dict[str, Query]:
     """Name to a function of (session, folder of test tables)."""
-    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op5_quality_mil, op6_exact_dedup, op7_maxent, op8_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op5_quality_mil, op6_exact_dedup, op7_maxent, op8_packing, op9_language,
+                                       op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
