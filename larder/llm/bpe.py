@@ -33,9 +33,11 @@ from tokenizers import Tokenizer
 from larder.llm.common import Remembered, column_of, map_texts, texts
 
 # Young chunks remembered by a worker, and pieces.
-REMEMBERED_CHUNKS = 250_000
+REMEMBERED_CHUNKS = 400_000
 # New chunks encoded together.
 CHUNKS_AT_ONCE = 50_000
+# All special tokens of the vocabulary begin so; they are the only strings in which case counts.
+SPECIAL_MARK = b"<|"
 # From here on Unicode's letters, digits and cases depend on its version: such chunks are normalised and cut by
 # the public library itself, and merged here.
 FIRST_UNSURE = "\u0530"
@@ -48,7 +50,7 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters, extra = {b: chr(b) for b in plain}, 256
@@ -74,7 +76,7 @@ class WordBpe:
         self._piece = regex.compile(pattern)
         self._space = regex.compile(r"\s+")
         self._cutter = Tokenizer.from_file(path)
-        letters = _byte_letters()
+        letters = byte_letters()
         self._byte = {c: b for b, c in enumerate(letters)}
         self._inner = [vocabulary.get(c) for c in letters]
         self._last = [vocabulary.get(c + self.end) for c in letters]
@@ -85,12 +87,13 @@ class WordBpe:
         for name, i in [*vocabulary.items(), *special.items()]:
             names[i] = name
         self.names = pa.array(names, pa.string())
-        self._known = Remembered(REMEMBERED_CHUNKS)
+        folds = any(n["type"] == "Lowercase" for n in spec["normalizer"]["normalizers"])
+        self._known = Remembered(REMEMBERED_CHUNKS, SPECIAL_MARK if folds else None)
         self._known_pieces: dict[str, bytes] = {}
 
     def _pieces(self, chunk: bytes) -> list[str | int]:
         """The pieces of one chunk; a special token is its id."""
-        if b"<|" in chunk and self._special_cut:
+        if SPECIAL_MARK in chunk and self._special_cut:
             found: list[str | int] = []
             for part in self._special_cut.split(chunk):
                 found += [self.special[part]] if part in self.special else self._plain_pieces(part)
@@ -165,6 +168,9 @@ class WordBpe:
                 current = []
         return done
 
+    def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
+        return self._merge([self._symbols(p) for p in pieces])
+
     def _learn(self, chunks: list[bytes]) -> list[bytes]:
         """Encode chunks that are not remembered."""
         known = self._known_pieces
@@ -174,9 +180,10 @@ class WordBpe:
         for start in range(0, len(chunks), CHUNKS_AT_ONCE):
             cut = [self._pieces(c) for c in chunks[start:start + CHUNKS_AT_ONCE]]
             missing = list({p for pieces in cut for p in pieces if type(p) is str and p not in known})
-            for piece, ids in zip(missing, self._merge([self._symbols(p) for p in missing])):
+            for piece, ids in zip(missing, self._piece_ids(missing)):
                 known[piece] = array("i", ids).tobytes()
-            found += [b"".join([known[p] if type(p) is str else array("i", [p]).tobytes() for p in pieces])
+            found += [known[pieces[0]] if len(pieces) == 1 and type(pieces[0]) is str else
+                      b"".join([known[p] if type(p) is str else array("i", [p]).tobytes() for p in pieces])
                       for pieces in cut]
         return found
 

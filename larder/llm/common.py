@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 # Documents handled at once inside a task: bounds the Python side whatever the Arrow batch holds.
 SLICE_ROWS = 512
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,11 +64,16 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 class Remembered(dict):
     """Encoded chunks of text, of which a worker remembers the latest: `limit` young ones and as many older.
 
-    Forgetting only costs time. Chunks are the runs between ASCII white space."""
+    Forgetting only costs time. Chunks are the runs between ASCII white space. `case_mark` is set for encodings
+    that do not tell cases apart but for texts with that mark in them: others are put in lower case first."""
 
-    def __init__(self, limit: int):
+    def __init__(self, limit: int, case_mark: bytes | None = None):
         super().__init__()
-        self.limit, self.older, self.unknown = limit, {}, set()
+        self.limit, self.case_mark, self.older, self.unknown = limit, case_mark, {}, set()
+
+    def _chunks(self, text: str) -> list[bytes]:
+        data = text.encode()
+        return data.split() if self.case_mark is None or self.case_mark in data else data.lower().split()
 
     def __missing__(self, chunk: bytes) -> bytes:
         value = self.older.get(chunk)
@@ -80,21 +85,18 @@ class Remembered(dict):
 
     def encode(self, some: list[str], learn: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
         """The encoded chunks of each text, joined; `learn` encodes chunks that are not remembered."""
-        split = [text.encode().split() for text in some]
-        found, again = [], []
-        for at, chunks in enumerate(split):
-            known = len(self.unknown)
-            found.append(b"".join(map(self.__getitem__, chunks)))
-            # A text is joined anew if any chunk was unknown, even one that an earlier text had met first.
-            if self.unknown and (len(self.unknown) > known or not self.unknown.isdisjoint(chunks)):
-                again.append(at)
-        if again:
+        split = [self._chunks(text) for text in some]
+        found = [list(map(self.__getitem__, chunks)) for chunks in split]
+        if self.unknown:
             new = list(self.unknown)
             self.unknown = set()
             if len(self) + len(new) > self.limit:
                 self.older = dict(self)
                 self.clear()
             self.update(zip(new, learn(new)))
-            for at in again:
-                found[at] = b"".join(map(self.__getitem__, split[at]))
-        return found
+            for chunks, values in zip(split, found):
+                if not all(values):
+                    for at, value in enumerate(values):
+                        if not value:
+                            values[at] = self[chunks[at]]
+        return [b"".join(values) for values in found]

@@ -15,7 +15,6 @@ length are broken by their place in the input.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from larder.llm.common import Remembered, column_of, text_slices, texts
+from larder.llm.bpe import WordBpe, byte_letters
+from larder.llm.common import column_of, text_slices, texts
 from larder.sources.tables import staged
 
 CAPACITY = 2048
@@ -38,37 +38,25 @@ SMALL_PARTS = 3
 # Groups of equal cardinality among the large lengths.
 GROUPS = 300
 MAX_PIVOTS = 2000
-# Young chunks whose ids a worker remembers.
-REMEMBERED_CHUNKS = 250_000
 
 
-class ChunkIds:
-    """Ids of texts by the public library, which sees each chunk between ASCII white space once.
-
-    Valid for vocabularies whose pieces never reach across white space."""
+class LibraryIds(WordBpe):
+    """Ids by the public library's model, which sees each distinct piece once."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.known = Remembered(REMEMBERED_CHUNKS)
+        super().__init__(path)
+        self._letters = dict(enumerate(byte_letters()))
 
-    def _learn(self, chunks: list[bytes]) -> list[bytes]:
-        encoded = self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def of(self, some: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers, and the end id."""
-        end = END_ID.to_bytes(4, "little")
-        return [ids + end for ids in self.known.encode(some, self._learn)]
+    def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
+        tokenize, letters = self._cutter.model.tokenize, self._letters
+        spelt = [p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters) for p in pieces]
+        return [[token.id for token in tokenize(p)] for p in spelt]
 
 
 @lru_cache(maxsize=4)
-def chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
+def library_ids(path: str) -> LibraryIds:
+    """One per worker and vocabulary."""
+    return LibraryIds(path)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -83,10 +71,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[int, int] = defaultdict(int)
+        end = END_ID.to_bytes(4, "little")
         for batch in text_slices(batches):
             rows = []
             owners = []
-            for at, ids in enumerate(chunk_ids(path).of(texts(batch))):
+            for at, encoded in enumerate(library_ids(path).encode(texts(batch))):
+                ids = encoded + end
                 view = memoryview(ids)
                 for number, start in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = view[start:start + 4 * capacity]
