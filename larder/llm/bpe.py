@@ -38,6 +38,7 @@ REMEMBERED_CHUNKS = 400_000
 CHUNKS_AT_ONCE = 50_000
 # All special tokens of the vocabulary begin so; they are the only strings in which case counts.
 SPECIAL_MARK = b"<|"
+SYMBOLS = ".,;:!?#*$%&|<>()[]{}\"/\\@^_`~=+-"
 # From here on Unicode's letters, digits and cases depend on its version: such chunks are normalised and cut by
 # the public library itself, and merged here.
 FIRST_UNSURE = "\u0530"
@@ -63,7 +64,7 @@ def byte_letters() -> list[str]:
 class WordBpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED_CHUNKS):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -88,7 +89,7 @@ class WordBpe:
             names[i] = name
         self.names = pa.array(names, pa.string())
         folds = any(n["type"] == "Lowercase" for n in spec["normalizer"]["normalizers"])
-        self._known = Remembered(REMEMBERED_CHUNKS, SPECIAL_MARK if folds else None)
+        self._known = Remembered(remembered, SPECIAL_MARK if folds else None)
         self._known_pieces: dict[str, bytes] = {}
 
     def _pieces(self, chunk: bytes) -> list[str | int]:
@@ -108,10 +109,14 @@ class WordBpe:
             pieces = self._cutter.pre_tokenizer.pre_tokenize_str(self._cutter.normalizer.normalize_str(text))
             return [bytes(map(self._byte.__getitem__, piece)).decode() for piece, _ in pieces]
         else:
-            text = self._space.sub(" ", unicodedata.normalize("NFC", text))
-            # Letter by letter: the form of a letter does not depend on its place in the word.
-            text = "".join([c.lower() for c in text])
-        return [text] if text.isalpha() and text.isascii() else self._piece.findall(text)
+            text = unicodedata.normalize("NFC", text)
+            # The form of a letter does not depend on its place in the word, as that of sigma does in `lower`.
+            text = text.lower() if "\u03a3" not in text else "".join([c.lower() for c in text])
+        letters = text.rstrip(SYMBOLS)
+        if letters.isalpha():
+            # The commonest chunks: letters, and symbols after them.
+            return [letters] if len(letters) == len(text) else [letters, text[len(letters):]]
+        return self._piece.findall(self._space.sub(" ", text))
 
     def _symbols(self, piece: str) -> list[int]:
         """Symbols of a piece before any merge."""

@@ -38,13 +38,15 @@ SMALL_PARTS = 3
 # Groups of equal cardinality among the large lengths.
 GROUPS = 300
 MAX_PIVOTS = 2000
+# Young chunks whose ids a worker remembers.
+REMEMBERED_CHUNKS = 700_000
 
 
 class LibraryIds(WordBpe):
     """Ids by the public library's model, which sees each distinct piece once."""
 
     def __init__(self, path: str):
-        super().__init__(path)
+        super().__init__(path, REMEMBERED_CHUNKS)
         self._letters = dict(enumerate(byte_letters()))
 
     def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
