@@ -27,7 +27,7 @@ def daily_orders(unified: DataFrame) -> DataFrame:
     return per_order.groupBy(*UNIT, "create_datetime").agg(
         F.sum("items").alias("ordered_quantity_item"),
         F.count_distinct("checkout_id").alias("checkout_quantity"),
-        F.count_distinct("order_id").alias("ordered_quantity"),
+        F.count("order_id").alias("ordered_quantity"),
         F.sum("ordered").alias("ordered_total_price"),
         F.sum("recieved").alias("recieved_total_price"),
     )
@@ -156,7 +156,6 @@ def daily_buyer_supplier(suppliers: DataFrame, outlets: DataFrame, orders: DataF
         .select("buyer_supplier_id", "buyer_id", "chain_id", "supplier_id", "suppliers_group_id",
                 "order_delivery_datetime", "orders_placed", "orders_placed_total_price")
         .distinct()
-        .orderBy(F.asc_nulls_last("buyer_supplier_id"), F.asc_nulls_last("order_delivery_datetime"))
     )
 
 
@@ -167,8 +166,6 @@ def daily_supplier(suppliers: DataFrame, orders: DataFrame) -> DataFrame:
         .join(_groups_of(suppliers), "supplier_id", "left")
         .select("supplier_id", "suppliers_group_id", "order_delivery_datetime", "orders_placed",
                 "orders_placed_total_price")
-        .orderBy(F.asc_nulls_last("supplier_id"), F.asc_nulls_last("suppliers_group_id"),
-                 F.asc_nulls_last("order_delivery_datetime"))
     )
 
 
@@ -196,5 +193,4 @@ def non_active_buyers(
         .filter(F.coalesce("_recent_documents", F.lit(0)) == 0)
         .join(live_chains, F.col("chain_id") == F.col("_chain"), "left")
         .select("chain_name", "buyer_name", "last_invoice_update_date", "buyer_created_at")
-        .orderBy(F.asc_nulls_last("chain_name"), F.asc_nulls_last("buyer_created_at"))
     )

@@ -212,7 +212,7 @@ class Marts:
 
     @cached_property
     def buyer_outlet_features(self) -> DataFrame:
-        return clusters.buyer_outlet_features(self.desertion_metrics, self.raw("categories"), as_of=self.as_of)
+        return clusters.buyer_outlet_features(self.stored("desertion_metrics"), self.raw("categories"), as_of=self.as_of)
 
     @cached_property
     def cluster_buyer_outlets(self) -> DataFrame:

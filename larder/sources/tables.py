@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,10 +27,14 @@ RAW_TABLES = {
 }
 
 
-def read_source(spark: SparkSession, name: str, folder: str | None = None) -> DataFrame:
-    """A raw input by its short name: Parquet below `folder`, or else a catalog table."""
+def read_source(spark: SparkSession, name: str, folder: str | None = None,
+                columns: dict[str, str] | None = None) -> DataFrame:
+    """A raw input by its short name: Parquet below `folder`, or else a catalog table.
+
+    `columns` maps column names of the source to those the operators read."""
     table = RAW_TABLES[name]
-    return spark.table(table) if folder is None else spark.read.parquet(f"{folder}/{table}")
+    source = spark.table(table) if folder is None else spark.read.parquet(f"{folder}/{table}")
+    return source.withColumnsRenamed(columns or {})
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -38,22 +43,39 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Paths written by `staged` in this process, until `drop_staged` deletes them.
+_written: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch folder only in local mode."""
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="larder-")
-        context.setCheckpointDir(folder)
-        folder = context.getCheckpointDir()
-    return folder
+    """The folder named by ``spark.checkpoint.dir``, or else one below the warehouse; never a machine's own
+    temporary folder, and the same rule in every mode."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/larder-staged"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result once to the shared folder, under a name of its own.
 
-    Unlike cached blocks the files outlive a lost executor, and readers prune their columns.
-    """
-    return write_table(df, f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+    Unlike cached blocks the files outlive a lost executor, and readers prune their columns."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return write_table(df, path)
+
+
+def drop_staged(spark: SparkSession, since: int = 0) -> None:
+    """Delete what `staged` wrote after the first `since` results. Results computed from it must be stored before."""
+    for path in _written[since:]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    del _written[since:]
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Intermediate results written inside the block are deleted at its end."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        drop_staged(spark, before)
