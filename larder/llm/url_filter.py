@@ -12,7 +12,7 @@ by the alphabet, and is broadcast only where its counted rows are at most BROADC
 
 Results for odd input: null, or no `://`: host, path and shape are empty, no rule fits, and the empty shape is
 scored like any other; repeated rows are judged alike; without labelled URLs of both kinds in the left-out
-fold the threshold is 0; an empty table gives an empty result; other columns are ignored.
+fold the threshold is 0 (it is the middle of the best edges otherwise); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,8 +103,8 @@ def window_scores(counts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def threshold(scored: DataFrame) -> DataFrame:
-    """One row, column `threshold` in UNITs: the bin edge with the least sum of the share of accepted URLs below
-    it and of rejected ones at or above it; the smallest of several. 0 without URLs of both kinds.
+    """One row, column `threshold` in UNITs: the middle of the bin edges with the least sum of the share of
+    accepted URLs below and of rejected ones at or above. 0 without URLs of both kinds.
 
     `scored` has score, a and r (numbers of accepted and rejected URLs); the bins bound what one task sees."""
     bins = scored.groupBy((F.floor(F.col("score") / BIN) * BIN).alias("edge")).agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
@@ -112,9 +112,10 @@ def threshold(scored: DataFrame) -> DataFrame:
     whole = Window.partitionBy()
     missed = F.try_divide(F.coalesce(F.sum("a").over(below), F.lit(0)), F.sum("a").over(whole)) \
         + F.try_divide(F.sum("r").over(whole) - F.coalesce(F.sum("r").over(below), F.lit(0)), F.sum("r").over(whole))
-    errors = bins.select("edge", missed.alias("missed"))
-    best = errors.agg(F.min(F.struct(F.round("missed", 12).alias("missed"), "edge")).alias("best"), F.min("missed").alias("least"))
-    return best.select(F.when(F.col("least").isNotNull(), F.col("best.edge")).otherwise(0).cast("long").alias("threshold"))
+    errors = bins.select("edge", F.round(missed, 12).alias("missed"))
+    least = errors.agg(F.min("missed").alias("least"))
+    best = errors.join(F.broadcast(least), F.col("missed") == F.col("least")).agg(F.min("edge").alias("low"), F.max("edge").alias("high"))
+    return best.select(F.coalesce(F.floor((F.col("low") + F.col("high")) / 2), F.lit(0)).cast("long").alias("threshold"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -197,7 +198,8 @@ bins AS (SELECT floor(score / {BIN}.0)::BIGINT * {BIN} AS edge, sum(held_a) AS a
 errors AS (SELECT edge, round(coalesce(sum(a) OVER below, 0) / nullif(sum(a) OVER (), 0)::DOUBLE
         + (sum(r) OVER () - coalesce(sum(r) OVER below, 0)) / nullif(sum(r) OVER (), 0)::DOUBLE, 12) AS missed FROM bins
         WINDOW below AS (ORDER BY edge ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-cut AS (SELECT coalesce((SELECT edge FROM errors WHERE missed IS NOT NULL ORDER BY missed, edge LIMIT 1), 0) AS edge)
+cut AS (SELECT coalesce(floor((min(edge) + max(edge)) / 2.0), 0)::BIGINT AS edge FROM errors
+        WHERE missed = (SELECT min(missed) FROM errors))
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score >= edge THEN 'allow' ELSE 'block' END) AS verdict,
        score / {UNIT}::DOUBLE AS score
 FROM p JOIN scored USING (shape) CROSS JOIN cut"""

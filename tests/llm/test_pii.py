@@ -1,0 +1,89 @@
+"""Surrogates: detection against plain Python, and what a replacement must keep."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from larder.llm import pii, queries
+
+SMALL = "/root/testdata/sf0.001"
+ROWS = [
+    (1, "Mail anna.b9@mail3.example.com or ANNA@Firm.co.uk now. Call +1 (212) 555-7713 or +49 30 123456."),
+    (2, "Card 4111 1111 1111 1111 and 4111111111111111, not 4111111111111112. ip 10.2.3.4, no 1.2.3.4.5. ssn 123-45-6789"),
+    (3, "Mr. John Smith met Mrs JANE Doe. Smith said hi to Doe, John too. Herr Müller. госпожа Анна Петрова пришла."),
+    (4, None), (5, ""), (None, "plain text, no data. CC BY-NC 4.0, 2024-05-06."), (8, "mail anna.b9@mail3.example.com" + " w" * 60000),
+    (9, 'token = "4d44c79e8bf7c55759c4958dd60ed83d2ef8cd4e" as.'), (9, 'token = "4d44c79e8bf7c55759c4958dd60ed83d2ef8cd4e" as.'),
+]
+
+
+def luhn(text):
+    total = 0
+    for i, c in enumerate(reversed(re.sub(r"\D", "", text))):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+@pytest.fixture(scope="module")
+def rewritten(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string").withColumn("key", F.lit("clash")).withColumn("match", F.lit(1))
+    done = pii.rewrite(docs)
+    assert set(done.columns) == {"row", "text", "n_replaced"}
+    return [(r["row"]["doc_id"], r["row"]["text"], r["text"], r["n_replaced"]) for r in done.collect()]
+
+
+def test_rows_and_counts(rewritten):
+    assert sorted((repr(d), old or "") for d, old, _, _ in rewritten) == sorted((repr(d), t or "") for d, t in ROWS)
+    counts = {d: n for d, _, _, n in rewritten}
+    assert counts == {1: 4, 2: 4, 3: 4, 4: 0, 5: 0, None: 0, 8: 1, 9: 1}
+    for d, old, new, n in rewritten:
+        assert n or old == new
+
+
+def test_formats_and_gender(rewritten):
+    text = {d: new for d, _, new, _ in rewritten}
+    assert re.fullmatch(r"Mail [a-z]{4}\.[a-z]\d@[a-z]{4}\d\.example\.com or [A-Z]{4}@[A-Za-z]{4}\.example\.uk now\. "
+                        r"Call \+1 \(\d{3}\) 555-\d{4} or \+49 \d\d \d{6}\.", text[1])
+    cards = re.findall(r"\d{4} \d{4} \d{4} \d{4}|(?<!\d)\d{16}(?!\d)", text[2])
+    assert len(cards) == 3 and luhn(cards[0]) and luhn(cards[1]) and cards[2] == "4111111111111112"
+    assert not {"4111 1111 1111 1111", "4111111111111111"} & set(cards) and "1.2.3.4.5" in text[2]
+    assert not re.search(r"10\.2\.3\.4|123-45-6789", text[2])
+    found = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs ([A-Z]+) (\w+)\. (\w+) said hi to (\w+), (\w+) too\. Herr (\w+)\. "
+                         r"госпожа (\w+) (\w+) пришла\.", text[3])
+    given, surname, given2, surname2, again, again2, bare = found.groups()[:7]
+    assert (given, surname, surname2) == (bare, again, again2) and len({given, surname, given2, surname2}) == 4
+    assert given in pii.GIVEN["latin"]["m"] and given2.title() in pii.GIVEN["latin"]["f"]
+    assert found.group(9) in pii.GIVEN["cyrillic"]["f"] and re.fullmatch("[А-Яа-я]+", found.group(10))
+
+
+def test_one_value_reads_the_same_everywhere(rewritten):
+    text = {d: new for d, _, new, _ in rewritten}
+    mail = re.search(r"\S+@\S+", text[1]).group()
+    assert mail in text[8] and len(text[8]) == len(ROWS[6][1])
+
+
+def test_surrogates_stay_distinct(spark, monkeypatch):
+    values = [("given_f", f"Name{i}") for i in range(60)] + [("surname", f"Bade{c}") for c in "abcdefgh"] + [("given_f", "Anna")]
+    table = pii.assign(spark.createDataFrame(values, "kind string, value string"), "k").collect()
+    new = [r["surrogate"] for r in table]
+    assert len(table) == len(values) and len(set(new)) == len(new) and not set(new) & {v for _, v in values}
+
+
+def test_key_changes_surrogates(spark):
+    docs = spark.createDataFrame(ROWS[:1], "doc_id long, text string")
+    assert pii.replace(docs, "a").first() != pii.replace(docs, "b").first()
+    assert pii.replace(docs.limit(0)).collect() == []
+
+
+def test_query_removes_every_entity_and_nothing_else(spark):
+    before = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    after = {r["doc_id"]: r for r in queries.op1_pii(spark, SMALL).collect()}
+    assert set(before) == set(after)
+    plain = re.compile(r"[\w.]+@[\w.]+|\+1 \(\d{3}\) 555-\d{4}|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d)|\b[0-9a-f]{40}\b|(?<!\d)\d{16}(?!\d)")
+    for doc, text in before.items():
+        found = [m for m in plain.findall(text) if not re.fullmatch(r"\d{16}", m) or luhn(m)]
+        assert after[doc]["n_replaced"] == len(found), (doc, found)
+        assert not [m for m in found if m in after[doc]["text"]]
+        if not found:
+            assert after[doc]["text"] == text
