@@ -95,7 +95,7 @@ class Marts:
 
     @cached_property
     def order_unified(self) -> DataFrame:
-        return orders.order_unified(self.order_header_stage, self.order_line_stage)
+        return orders.order_unified(self.raw("orders"), self.stored("demo_ids"), self.stored("buyer_timezone"))
 
     @cached_property
     def order_header(self) -> DataFrame:
@@ -115,7 +115,7 @@ class Marts:
 
     @cached_property
     def document_unified(self) -> DataFrame:
-        return documents.document_unified(self.document_header_stage, self.document_line_stage)
+        return documents.document_unified(self.raw("documents"), self.stored("demo_ids"), self.stored("buyer_timezone"))
 
     @cached_property
     def document_header(self) -> DataFrame:
@@ -135,7 +135,7 @@ class Marts:
 
     @cached_property
     def inventory_unified(self) -> DataFrame:
-        return inventory.inventory_unified(self.inventory_header_stage, self.inventory_line_stage)
+        return inventory.inventory_unified(self.raw("inventory_counts"), self.stored("demo_ids"), self.stored("buyer_timezone"))
 
     @cached_property
     def inventory_header(self) -> DataFrame:
