@@ -125,19 +125,24 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list
     """Configurations and how often each is used, so that every size meets its demand at least and no size
     more than it: column generation for the relaxed problem, whole parts of it, then the fullest configuration
     of what is left, again and again."""
-    basis = np.diag((capacity // sizes).astype(float))
-    level = demand / np.diag(basis)
+    basis = np.diag(capacity // sizes)
+    inverse = np.diag(1 / np.diag(basis))
+    # Products by rows, not by a linear algebra library, whose threads would fight over a busy driver's cores.
+    times_inverse = lambda vector: (inverse * vector).sum(axis=1)
     for _ in range(MAX_PIVOTS):
-        inverse = np.linalg.inv(basis)
         prices = inverse.sum(axis=0)
-        column = best_configuration(sizes, prices, capacity).astype(float)
-        if column @ prices <= 1 + 1e-7:
+        column = best_configuration(sizes, prices, capacity)
+        if (column * prices).sum() <= 1 + 1e-7:
             break
-        direction = inverse @ column
-        level = inverse @ demand
+        direction = times_inverse(column)
+        level = times_inverse(demand)
         ratio = np.where(direction > 1e-9, level / np.where(direction > 1e-9, direction, 1), np.inf)
-        basis[:, int(np.argmin(ratio))] = column
-    level = np.maximum(np.linalg.solve(basis, demand.astype(float)), 0)
+        leaves = int(np.argmin(ratio))
+        basis[:, leaves] = column
+        row = inverse[leaves] / direction[leaves]
+        inverse -= direction[:, None] * row
+        inverse[leaves] = row
+    level = np.maximum(times_inverse(demand), 0)
     left = demand.astype(np.int64).copy()
     used = []
     for at in np.argsort(-level):
