@@ -3,8 +3,8 @@
 Words between ASCII white space, with A-Z in lower case, and one end per text are the tokens. All training
 tokens are counted. The commonest words (and the end) are units in UNIT_CLASSES classes by rank; every other
 word, known or not, belongs to a class by its shape. The class of the next token depends on hashed features of
-its context (the word before, the one before that, both together, and a skip to the third); a unit within its
-class depends on hashed words before too; a word within a shape class has its smoothed share of that class's
+its context (the word before, a skip to the one before that, and both together); a unit within its class
+depends on the hashed word before too; a word within a shape class has its smoothed share of that class's
 tokens. So the probabilities of all words, with one unseen word to a class, add up to one.
 
 Training goes over all training documents, in ROUNDS shares: each task starts from the broadcast weights, makes
@@ -37,20 +37,20 @@ from larder.sources.tables import staged
 # The end of a text; no word is empty.
 END = b""
 HEAD = 100_000
-UNIT_CLASSES = 20
-UNITS = 48
+UNIT_CLASSES = 12
+UNITS = 32
 SHAPE_CLASSES = 12
 CLASSES = UNIT_CLASSES + SHAPE_CLASSES
 # Buckets of each class feature and of each unit feature.
 BUCKETS = 1 << 13
 UNIT_BUCKETS = 1 << 9
-CLASS_FEATURES = 4
-UNIT_FEATURES = 2
+CLASS_FEATURES = 3
+UNIT_FEATURES = 1
 BLOCKS = 64
 ROUNDS = 2
 FAN_IN = 32
 RATE = 0.3
-STEP_TOKENS = 16_384
+STEP_TOKENS = 32_768
 COUNTED_AT_ONCE = 200_000
 LN10 = math.log(10)
 
@@ -157,12 +157,10 @@ class Tokens:
             mixed = (values + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
             return ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
 
-        one, two, three = back(1), back(2), back(3)
+        one, two = back(1), back(2)
         both = one * np.uint64(0x100000001B3) ^ two
-        self.features = [bucket(x, salt, BUCKETS) + salt * BUCKETS for salt, x in enumerate((one, two, both, three))]
-        self.unit_features = [
-            (salt * UNIT_CLASSES + np.minimum(self.classes, UNIT_CLASSES - 1)) * UNIT_BUCKETS + bucket(x, 7 + salt, UNIT_BUCKETS)
-            for salt, x in enumerate((one, two))]
+        self.features = [bucket(x, salt, BUCKETS) + salt * BUCKETS for salt, x in enumerate((one, two, both))]
+        self.unit_features = [np.minimum(self.classes, UNIT_CLASSES - 1) * UNIT_BUCKETS + bucket(one, 7, UNIT_BUCKETS)]
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -177,19 +175,21 @@ def _logits(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray]) -> n
     return total
 
 
-def _step(rows: np.ndarray, squares: np.ndarray, met: np.ndarray, feature: np.ndarray, error: np.ndarray) -> None:
-    """One Adagrad step for the rows of one feature."""
-    order = np.argsort(feature, kind="stable")
-    ordered = feature[order]
-    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    gradient = np.add.reduceat(error[order], starts, axis=0)
-    times = np.diff(np.r_[starts, len(ordered)])
-    which = ordered[starts]
-    # The mean over the tokens that met the feature, so that common ones do not jump.
-    gradient /= np.sqrt(times)[:, None]
-    squares[which] += gradient**2
-    rows[which] -= RATE * gradient / np.sqrt(squares[which] + 1.0)
-    met[which] += times
+def _step(rows: np.ndarray, squares: np.ndarray, met: np.ndarray, features: list[np.ndarray], error: np.ndarray) -> None:
+    """One Adagrad step for the rows of each feature, which lie in a range of their own."""
+    by_output = np.ascontiguousarray(error.T, dtype=np.float64)
+    for feature in features:
+        low = int(feature.min())
+        place = feature - low
+        times = np.bincount(place)
+        which = np.flatnonzero(times)
+        gradient = np.stack([np.bincount(place, weights=e)[which] for e in by_output], axis=1)
+        # Between sum and mean over the tokens that met the feature, so that common ones do not jump.
+        gradient /= np.sqrt(times[which])[:, None]
+        at = which + low
+        squares[at] += gradient**2
+        rows[at] -= RATE * gradient / np.sqrt(squares[at] + 1.0)
+        met[at] += times[which]
 
 
 def train_on(model: Model, flat: np.ndarray, squares: np.ndarray, met: tuple[np.ndarray, np.ndarray], tokens: Tokens) -> None:
@@ -201,15 +201,13 @@ def train_on(model: Model, flat: np.ndarray, squares: np.ndarray, met: tuple[np.
         features = [f[part] for f in tokens.features]
         error = np.exp(_log_softmax(_logits(model.class_bias, rows, features)))
         error[np.arange(len(error)), tokens.classes[part]] -= 1
-        for feature in features:
-            _step(rows, row_squares, met[0], feature, error)
+        _step(rows, row_squares, met[0], features, error)
         at = start + np.flatnonzero(tokens.unit[part])
         if len(at):
             features = [f[at] for f in tokens.unit_features]
             error = np.exp(_log_softmax(_logits(model.unit_bias[tokens.classes[at]], unit_rows, features)))
             error[np.arange(len(at)), tokens.rank[at] % UNITS] -= 1
-            for feature in features:
-                _step(unit_rows, unit_squares, met[1], feature, error)
+            _step(unit_rows, unit_squares, met[1], features, error)
 
 
 def log_probabilities(model: Model, tokens: Tokens) -> np.ndarray:
@@ -230,9 +228,9 @@ def log_probabilities(model: Model, tokens: Tokens) -> np.ndarray:
 
 
 def _merged(parts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of weighted weights and of weights' weights over the blocks of several tasks."""
-    sums = sum(np.frombuffer(b, np.float64) for b in parts["sums"])
-    met = sum(np.frombuffer(b, np.float64) for b in parts["met"])
+    """Sums over several tasks' blocks: the weights, each times how often its feature was met, and these times."""
+    sums = sum(np.frombuffer(b, np.float32) for b in parts["sums"])
+    met = sum(np.frombuffer(b, np.float32) for b in parts["met"])
     return sums, met
 
 
@@ -255,11 +253,11 @@ def train_round(docs: DataFrame, model: Model) -> np.ndarray:
             train_on(base, flat, squares, met, Tokens(base, [split(t) for t in texts(batch)]))
         if task is None:
             return
-        times = np.repeat(np.concatenate(met), widths)
-        sums = flat * times
+        times = np.concatenate(met).astype(np.float32)
+        sums = flat * np.repeat(times, widths)
         for block, (a, b) in enumerate(zip(np.array_split(sums, BLOCKS), np.array_split(times, BLOCKS))):
             yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([block], pa.int32()),
-                                              pa.array([a.astype(float).tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())],
+                                              pa.array([a.tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())],
                                              names=schema.names)
 
     def merge(parts: pd.DataFrame) -> pd.DataFrame:
@@ -276,8 +274,8 @@ def train_round(docs: DataFrame, model: Model) -> np.ndarray:
     merged = parts.toPandas().sort_values("block")
     if not len(merged):
         return model.weights
-    sums = np.concatenate([np.frombuffer(b, np.float64) for b in merged["sums"]])
-    met = np.concatenate([np.frombuffer(b, np.float64) for b in merged["met"]])
+    sums = np.concatenate([np.frombuffer(b, np.float32) for b in merged["sums"]])
+    met = np.repeat(np.concatenate([np.frombuffer(b, np.float32) for b in merged["met"]]), widths)
     return np.where(met > 0, sums / np.maximum(met, 1), model.weights).astype(np.float32)
 
 
