@@ -23,6 +23,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -41,7 +42,7 @@ UNIT_CLASSES = 12
 UNITS = 32
 SHAPE_CLASSES = 12
 CLASSES = UNIT_CLASSES + SHAPE_CLASSES
-# Buckets of each class feature and of each unit feature.
+# Buckets of each class feature and of each unit feature: powers of two.
 BUCKETS = 1 << 13
 UNIT_BUCKETS = 1 << 9
 CLASS_FEATURES = 3
@@ -51,6 +52,7 @@ ROUNDS = 2
 FAN_IN = 32
 RATE = 0.3
 STEP_TOKENS = 32_768
+LEVELS = 64
 COUNTED_AT_ONCE = 200_000
 LN10 = math.log(10)
 
@@ -112,6 +114,11 @@ class Model:
         mass = np.r_[np.where(filled, units, 0).reshape(UNIT_CLASSES, UNITS).sum(axis=1), totals] + 0.5
         has = np.r_[filled.reshape(UNIT_CLASSES, UNITS).any(axis=1), np.ones(SHAPE_CLASSES, bool)]
         self.class_bias = np.where(has, np.log(mass / mass.sum()), -1e9).astype(np.float32)
+        # Of head words: class and hash.
+        ranks = np.arange(len(self.words))
+        shapes = np.fromiter(map(shape_class, self.words), np.int64, len(ranks)) + UNIT_CLASSES
+        self.classes_of = np.where(ranks < UNIT_CLASSES * UNITS, ranks // UNITS, shapes)
+        self.hashes = np.fromiter(map(zlib.crc32, self.words), np.uint64, len(ranks))
         self.log_shape_total = np.log(totals + 0.5 * (kinds + 1))
         self.weights = np.zeros(self.sizes()[-1], np.float32)
 
@@ -134,19 +141,21 @@ class Tokens:
         for words in lists:
             flat += words
             flat.append(END)
-        distinct = list(dict.fromkeys(flat))
-        index = dict(zip(distinct, range(len(distinct))))
-        self.ids = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
-        rank = np.fromiter((model.rank.get(w, -1) for w in distinct), np.int64, len(distinct))
-        unit = (rank >= 0) & (rank < UNIT_CLASSES * UNITS)
-        shape = np.fromiter((0 if u else shape_class(w) for w, u in zip(distinct, unit)), np.int64, len(distinct))
-        hashes = np.fromiter(map(zlib.crc32, distinct), np.uint64, len(distinct))
+        self.rank = np.fromiter(map(model.rank.get, flat, repeat(-1)), np.int64, len(flat))
+        # Words beyond the head, each looked at once.
+        self.rare_at = np.flatnonzero(self.rank < 0)
+        rare = [flat[i] for i in self.rare_at.tolist()]
+        self.rare_words = list(dict.fromkeys(rare))
+        index = dict(zip(self.rare_words, range(len(self.rare_words))))
+        self.rare_ids = np.fromiter(map(index.__getitem__, rare), np.int64, len(rare))
+        shapes = np.fromiter(map(shape_class, self.rare_words), np.int64, len(index)) + UNIT_CLASSES
+        hashes = np.fromiter(map(zlib.crc32, self.rare_words), np.uint64, len(index))
         lengths = np.array([len(words) + 1 for words in lists], np.int64)
         self.owner = np.repeat(np.arange(len(lists)), lengths)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        self.rank, self.unit = rank[self.ids], unit[self.ids]
-        self.classes = np.where(self.unit, self.rank // UNITS, UNIT_CLASSES + shape[self.ids])
-        word = hashes[self.ids]
+        self.unit = (self.rank >= 0) & (self.rank < UNIT_CLASSES * UNITS)
+        self.classes, word = model.classes_of[self.rank], model.hashes[self.rank]
+        self.classes[self.rare_at], word[self.rare_at] = shapes[self.rare_ids], hashes[self.rare_ids]
 
         def back(gap: int) -> np.ndarray:
             moved = np.full(len(word), 0x51ED27, np.uint64)
@@ -155,7 +164,7 @@ class Tokens:
 
         def bucket(values: np.ndarray, salt: int, buckets: int) -> np.ndarray:
             mixed = (values + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
-            return ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
+            return ((mixed ^ (mixed >> np.uint64(29))) & np.uint64(buckets - 1)).astype(np.int64)
 
         one, two = back(1), back(2)
         both = one * np.uint64(0x100000001B3) ^ two
@@ -196,7 +205,7 @@ def train_on(model: Model, flat: np.ndarray, squares: np.ndarray, met: tuple[np.
     """Gradient steps on the weights `flat`, in batches of STEP_TOKENS."""
     rows, unit_rows = model.views(flat)
     row_squares, unit_squares = model.views(squares)
-    for start in range(0, len(tokens.ids), STEP_TOKENS):
+    for start in range(0, len(tokens.rank), STEP_TOKENS):
         part = slice(start, start + STEP_TOKENS)
         features = [f[part] for f in tokens.features]
         error = np.exp(_log_softmax(_logits(model.class_bias, rows, features)))
@@ -213,7 +222,7 @@ def train_on(model: Model, flat: np.ndarray, squares: np.ndarray, met: tuple[np.
 def log_probabilities(model: Model, tokens: Tokens) -> np.ndarray:
     """Natural logarithm of each token's probability; for words of shape classes without their own count."""
     rows, unit_rows = model.views(model.weights)
-    found = np.empty(len(tokens.ids))
+    found = np.empty(len(tokens.rank))
     for start in range(0, len(found), STEP_TOKENS):
         part = slice(start, start + STEP_TOKENS)
         chance = _log_softmax(_logits(model.class_bias, rows, [f[part] for f in tokens.features]))
@@ -281,8 +290,16 @@ def train_round(docs: DataFrame, model: Model) -> np.ndarray:
 
 def train(docs: DataFrame, counts: DataFrame) -> Model:
     """A model of the training documents, whose counted words are given."""
-    head = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    head = [(bytes(r["word"]), r["c"]) for r in head]
+    # Words by their count's logarithm, in bins: the commonest bins with HEAD words at most.
+    level = F.floor(F.log2("c") * LEVELS)
+    floor, held = math.inf, 0
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        held += r["count"]
+        if held > HEAD:
+            break
+        floor = r["level"]
+    chosen = counts.filter(level >= floor).collect() if floor < math.inf else []
+    head = sorted(((bytes(r["word"]), r["c"]) for r in chosen), key=lambda h: (-h[1], h[0]))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     units = {w for w, _ in [(END, 0), *[h for h in head if h[0] != END]][:UNIT_CLASSES * UNITS]}
     schema = T.StructType([T.StructField("shape", T.IntegerType()), T.StructField("c", T.LongType()), T.StructField("kinds", T.LongType())])
@@ -326,10 +343,11 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) ->
         known = in_head & (model.counts[np.maximum(tokens.rank, 0)] > 0)
         chance = log_probabilities(model, tokens) / LN10 + np.where(tokens.unit, 0, own)
         sums = [np.bincount(tokens.owner, weights=w, minlength=n) for w in (known, own, chance)]
-        rare = [Counter([w for w in words if w not in model.rank]) for words in lists]
-        ends = pa.array(np.cumsum([0] + [len(r) for r in rare]).astype(np.int32))
-        pairs = pa.StructArray.from_arrays([pa.array([w for r in rare for w in r], pa.binary()),
-                                            pa.array([t for r in rare for t in r.values()], pa.int64())], names=["word", "times"])
+        kinds = max(1, len(tokens.rare_words))
+        pair, times = np.unique(tokens.owner[tokens.rare_at] * kinds + tokens.rare_ids, return_counts=True)
+        ends = pa.array(np.r_[0, np.cumsum(np.bincount(pair // kinds, minlength=n))].astype(np.int32))
+        words = pa.array(tokens.rare_words, pa.binary()).take(pa.array(pair % kinds))
+        pairs = pa.StructArray.from_arrays([words, pa.array(times)], names=["word", "times"])
         return pa.RecordBatch.from_arrays(
             [column_of(batch, c) for c in ("key", "doc_id", "held_out")]
             + [pa.array(np.bincount(tokens.owner, minlength=n)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]),
