@@ -92,3 +92,22 @@ def test_probabilities_add_up():
 def test_shape_classes_are_numbered():
     shapes = {maxent.shape_class(w.encode()) for w in ["a", "abcdefgh", "é", "éabcdefgh", "a.", "é.", "a,", "é,", "a!", "é!", "a#", "é#"]}
     assert shapes == set(range(maxent.SHAPE_CLASSES))
+
+
+def test_three_words_of_context_and_960_units():
+    words = [(b"", 2000), *((f"w{i}".encode(), 1500 - i) for i in range(1100))]
+    rest = [(w, c) for w, c in words[20 * 48:]]
+    totals, kinds = np.zeros(maxent.SHAPE_CLASSES), np.zeros(maxent.SHAPE_CLASSES)
+    for word, c in rest:
+        totals[maxent.shape_class(word)] += c
+        kinds[maxent.shape_class(word)] += 1
+    model = maxent.Model(words, totals, kinds, sum(c for _, c in words), len(words))
+    model.weights = np.random.default_rng(2).normal(0, 1, len(model.weights)).astype(np.float32)
+
+    def chance(*tokens):
+        return maxent.log_probabilities(model, maxent.Tokens(model, [[t.encode() for t in tokens]]))[len(tokens) - 1]
+
+    # The third word before changes the class; the words before, and the one before them, change the word within its class.
+    assert abs(chance("w1", "w2", "w3", "w5") - chance("w9", "w2", "w3", "w5")) > 1e-3
+    within = [chance(a, b, "w950") - chance(a, b, "w951") for a, b in (("w2", "w3"), ("w2", "w9"), ("w9", "w3"))]
+    assert abs(within[0] - within[1]) > 1e-3 and abs(within[0] - within[2]) > 1e-3
