@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.llm.common import column_of, map_texts, texts
+from larder.llm.exact_dedup import digest_of
 from larder.sources.tables import staged
 
 SEED = 42
@@ -64,18 +65,19 @@ def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return fingerprint
 
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a long) of every row's whole text."""
-    schema = T.StructType([docs.select("doc_id").schema[0], T.StructField("fingerprint", T.LongType())])
+def fingerprints(docs: DataFrame, words: int, *carried: Column) -> DataFrame:
+    """doc_id, the carried columns and fingerprint (the 64 bits as a long) of every row's whole text."""
+    rows = docs.select("doc_id", *carried, "text")
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("fingerprint", T.LongType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashed = [shingle_hashes(text, words) for text in texts(batch)]
         counts = np.array([len(h) for h in hashed], np.int64)
         bits = majority_bits(np.array([x for h in hashed for x in h], np.uint64), counts)
-        return pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), pa.array(bits.view(np.int64))],
+        return pa.RecordBatch.from_arrays([*(column_of(batch, c) for c in schema.names[:-1]), pa.array(bits.view(np.int64))],
                                           names=schema.names)
 
-    return map_texts(docs.select("doc_id", "text"), run, schema)
+    return map_texts(rows, run, schema)
 
 
 def planes_of(values: np.ndarray) -> np.ndarray:
@@ -286,11 +288,20 @@ def groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
 def distinct_rows(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     """One document of each component, the one with the smallest id, in the columns of `docs`.
 
-    Of rows that repeat that id one stays; rows of a component without any id are one document too."""
-    ids = groups(docs, words, radius)
-    kept = staged(ids.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")), "representatives")
-    match = docs["doc_id"].eqNullSafe(kept["doc_id"])
+    Where different texts of a component share that id, or none has an id, the one with the smallest digest stays;
+    of rows that repeat id and text, one."""
+    rows = staged(fingerprints(docs, words, digest_of(F.col("text")).alias("digest")), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest")).alias("first")
+    distinct = staged(rows.groupBy("fingerprint").agg(first), "distinct_fingerprints")
+    linked = components(links(distinct.select("fingerprint"), radius))
+    chosen = distinct.join(linked, F.col("node") == F.col("fingerprint"), "left") \
+        .groupBy(F.coalesce("root", "fingerprint").alias("root")).agg(F.min("first").alias("first")).select("first.*")
+    same = [rows["doc_id"].eqNullSafe(chosen["doc_id"]), rows["digest"] == chosen["digest"]]
+    kept = staged(rows.join(chosen, same, "left_semi").groupBy("doc_id", "digest")
+                  .agg(F.count(F.lit(1)).alias("times")), "representatives")
+    match = [docs["doc_id"].eqNullSafe(kept["doc_id"]), digest_of(docs["text"]) == kept["digest"]]
     once = docs.join(kept.filter("times = 1"), match, "left_semi")
     again = docs.join(kept.filter("times > 1"), match, "left_semi")
-    return once.unionByName(again.dropDuplicates(["doc_id"]).select(docs.columns))
+    row = F.struct(*[again[c] for c in docs.columns]).alias("row")
+    one = again.select(row, again["doc_id"].alias("id"), digest_of(again["text"]).alias("digest")).dropDuplicates(["id", "digest"])
+    return once.unionByName(one.select("row.*"))

@@ -84,3 +84,17 @@ def test_one_row_of_a_component_stays(spark):
     rows = [(4, text), (2, text), (2, text), (8, text + " end"), (6, "quite another text here")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.distinct_rows(docs).collect()) == [2, 6]
+
+
+def test_one_row_of_every_component_stays_without_or_with_shared_ids(spark):
+    clean = [" ".join(f"{c}{i}" for i in range(400)) for c in "wabcd"]
+    assert len(set(brute_components(map(brute_fingerprint, clean)).values())) == 5
+
+    def kept(rows):
+        return sorted(map(tuple, simhash.distinct_rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+
+    near = (None, clean[0] + " end")
+    want = [(5, clean[0]), (None, clean[1]), (None, clean[2]), (3, clean[3]), (3, clean[4])]
+    assert kept([*want, near, (None, clean[2])]) == sorted(want, key=repr)
+    assert kept([want[0], want[1], near]) == sorted(want[:2], key=repr)
+    assert kept([(None, None), (None, None)]) == [(None, None)]
