@@ -9,7 +9,7 @@ everywhere. A name's words are replaced one by one, so "Mr John Smith", "Mr Smit
 the same text go together.
 
 Results for odd input: null texts stay null; texts without entities stay as they are, and are not shuffled;
-numbers that fail the Luhn check stay; a null id is carried; repeated rows are rewritten alike; an empty table
+numbers without a card among them stay; a null id is carried; repeated rows are rewritten alike; an empty table
 gives an empty result; other columns, whatever their names, are carried (n_chars follows the text).
 """
 
@@ -66,7 +66,11 @@ IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 PHONE = r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])" \
         r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+# Groups of digits over single blanks or hyphens, 13 digits at least, up to the next entity: a card may be some of them.
+CARD = r"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]{1,19}+(?![0-9])" \
+       rf"(?:[ -](?!{SECRET}|{IPV4}|{SSN}|{EMAIL})[0-9]{{1,19}}+(?![0-9]))*+"
+# The usual layouts of a card number.
+LAYOUTS = ["[0-9]{13,19}", r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?", r"[0-9]{4}([ -])[0-9]{6}\1[0-9]{4,5}"]
 PERSON = rf"(?<![\p{{L}}\p{{M}}])(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}"
 PATTERN = "|".join([EMAIL, SECRET, IPV4, PHONE, SSN, CARD, PERSON])
 
@@ -86,12 +90,46 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(weighed, F.lit(0), lambda a, b: a + b)
 
 
+def cards_in(run: Column) -> Column:
+    """(start, value) of the cards in a match of CARD: groups of 13 to 19 digits that pass the Luhn check, without overlaps.
+
+    A usual layout goes before any other one, then the one that begins first, then the longer one."""
+    windows = F.regexp_extract_all(run, F.lit("(?<![0-9])(?=([0-9]+(?:[ -][0-9]+){0,18}))"), 1)
+
+    def passing(window: Column, patterns: list[str]) -> Column:
+        found = F.filter(F.array(*(F.regexp_extract(window, f"^(?:{p})(?![0-9])", 0) for p in patterns)), lambda c: F.length(c) > 0)
+        return F.get(F.filter(found, lambda c: _luhn_sum(_digits(c)) % 10 == 0), F.lit(0))
+
+    lengths = [f"[0-9](?:[ -]?[0-9]){{{n - 1}}}" for n in range(19, 12, -1)]
+    tried = F.transform(windows, lambda w: F.struct(F.length(F.regexp_extract(w, "^[0-9]+", 0)).alias("width"),
+                                                    passing(w, LAYOUTS).alias("usual"), passing(w, lengths).alias("other")))
+
+    def chosen(all_tried: Column) -> Column:
+        def one(t: Column, i: Column) -> Column:
+            inside = F.slice(all_tried, i + 2, F.greatest(F.size(F.split(t["other"], "[ -]")) - 1, F.lit(0)))
+            free = ~F.exists(inside, lambda u: u["usual"].isNotNull())
+            return F.struct(t["width"].alias("width"), F.coalesce(t["usual"], F.when(free, t["other"])).alias("value"))
+
+        return F.transform(all_tried, one)
+
+    def add(state: Column, t: Column) -> Column:
+        takes = t["value"].isNotNull() & (state["at"] >= state["free"])
+        return F.struct(
+            (state["at"] + t["width"] + 1).alias("at"),
+            F.when(takes, state["at"] + F.length(t["value"])).otherwise(state["free"]).alias("free"),
+            F.when(takes, F.concat(state["cards"], F.array(F.struct(state["at"].alias("start"), t["value"].alias("value")))))
+            .otherwise(state["cards"]).alias("cards"))
+
+    start = F.struct(F.lit(1).alias("at"), F.lit(1).alias("free"), F.array().cast("array<struct<start:int,value:string>>").alias("cards"))
+    return F.aggregate(_let(tried, chosen), start, add, lambda state: state["cards"])
+
+
 def kind_of(value: Column) -> Column:
-    """Kind of a match of PATTERN; null for a number that fails the Luhn check."""
+    """Kind of a match of PATTERN; null for numbers without a card among them."""
     return (F.when(value.contains("@"), "email").when(value.rlike("^[0-9a-f]{32,}$"), "secret")
             .when(value.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ipv4").when(value.rlike(r"^[+(]"), "phone")
             .when(value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").when(value.rlike(r"^\p{L}"), "person")
-            .when(_luhn_sum(_digits(value)) % 10 == 0, "card"))
+            .when(F.size(cards_in(value)) > 0, "card"))
 
 
 def _drawn(key: str, *parts: Column) -> Column:
@@ -241,22 +279,29 @@ def _name_words(value: Column) -> Column:
 
 
 def surrogates(found: DataFrame, key: str) -> DataFrame:
-    """(match, surrogate, words): for each distinct match (column `match`) its replacement, and for a person
-    the pairs (value, surrogate) of the name's words."""
+    """(match, surrogate, times, words): for each distinct match (column `match`) its replacement, the entities in it,
+    and for a person the pairs (value, surrogate) of the name's words."""
     matches = staged(found.select("match").distinct().withColumn("kind", kind_of(F.col("match")))
                      .filter(F.col("kind").isNotNull()), "matches")
     words = matches.filter("kind = 'person'").select("match", F.posexplode(_name_words(F.col("match")))) \
         .select("match", "pos", "col.kind", "col.value")
-    plain = matches.filter("kind <> 'person'").select("kind", F.col("match").alias("value"))
-    table = staged(assign(plain.unionByName(words.select("kind", "value").distinct()), key), "surrogates")
+    cards = matches.filter("kind = 'card'").select("match", "kind", F.explode(cards_in(F.col("match"))).alias("card")) \
+        .select("match", "kind", "card.start", "card.value")
+    plain = matches.filter("kind not in ('person', 'card')").select("kind", F.col("match").alias("value"))
+    parts = words.select("kind", "value").unionByName(cards.select("kind", "value")).distinct()
+    table = staged(assign(plain.unionByName(parts), key), "surrogates")
     named = words.join(table, ["kind", "value"]).groupBy("match").agg(
         F.sort_array(F.collect_list(F.struct("pos", "value", "surrogate"))).alias("words"))
     pairs = F.transform("words", lambda w: F.struct(w["value"].alias("value"), w["surrogate"].alias("surrogate")))
     people = named.select("match", F.concat_ws(" ", F.substring_index("match", " ", 1), F.col("words.surrogate"))
                           .alias("surrogate"), pairs.alias("words"))
-    other = table.filter(~F.col("kind").startswith("given_") & (F.col("kind") != "surname")) \
-        .select(F.col("value").alias("match"), "surrogate")
-    return other.unionByName(people, allowMissingColumns=True)
+    # A card's surrogate is as long as the card, so that the places of the next ones stay.
+    placed = cards.join(table, ["kind", "value"]).groupBy("match").agg(F.collect_list(F.struct("start", "surrogate")).alias("cards"))
+    numbers = placed.select("match", F.aggregate("cards", F.col("match"), lambda t, c: F.overlay(t, c["surrogate"], c["start"]))
+                            .alias("surrogate"), F.size("cards").alias("times"))
+    other = table.filter(~F.col("kind").startswith("given_") & ~F.col("kind").isin("surname", "card")) \
+        .select(F.col("value").alias("match"), "surrogate").unionByName(people, allowMissingColumns=True)
+    return other.withColumn("times", F.lit(1)).unionByName(numbers, allowMissingColumns=True)
 
 
 def _bare(text: Column, words: Column) -> Column:
@@ -267,7 +312,7 @@ def _bare(text: Column, words: Column) -> Column:
 
 
 def rewrite(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
-    """`docs` with a struct `row` of its columns, the new `text`, and `n_replaced`, the number of matches replaced."""
+    """`docs` with a struct `row` of its columns, the new `text`, and `n_replaced`, the number of entities replaced."""
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     has = docs["text"].rlike(PATTERN)
     some = docs.filter(has).select(row, F.sha2(docs["text"], 256).alias("key"))
@@ -278,7 +323,7 @@ def rewrite(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
     # One entry per match of one text; numbers that are no cards keep themselves.
     lists = found.join(table, "match", "left").groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("pos", F.coalesce("surrogate", "match").alias("new"), "words",
-                                             F.col("surrogate").isNotNull().alias("is")))).alias("all"))
+                                             F.coalesce("times", F.lit(0)).alias("times")))).alias("all"))
     joined = some.join(lists, "key")
     between = F.split(F.col("row.text"), PATTERN, -1)
     words = F.array_distinct(F.flatten(F.filter(F.col("all.words"), lambda w: w.isNotNull())))
@@ -286,7 +331,7 @@ def rewrite(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
     left = _let(words, lambda some: F.when(F.size(some) > 0, F.transform(between, lambda t: _bare(t, some)))
                 .otherwise(between))
     text = F.array_join(F.zip_with(left, F.col("all.new"), lambda t, n: F.concat(t, F.coalesce(n, F.lit("")))), "")
-    changed = joined.select("row", text.alias("text"), F.size(F.filter("all", lambda a: a["is"])).cast("long").alias("n_replaced"))
+    changed = joined.select("row", text.alias("text"), F.aggregate("all", F.lit(0).cast("long"), lambda n, a: n + a["times"]).alias("n_replaced"))
     same = docs.filter(~F.coalesce(has, F.lit(False))).select(row, docs["text"].alias("text"), F.lit(0).cast("long").alias("n_replaced"))
     return same.unionByName(changed)
 

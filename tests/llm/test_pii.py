@@ -87,3 +87,24 @@ def test_query_removes_every_entity_and_nothing_else(spark):
         assert not [m for m in found if m in after[doc]["text"]]
         if not found:
             assert after[doc]["text"] == text
+
+
+def test_cards_beside_other_digits(spark):
+    texts = ["4111 1111 1111 1111 12/27", "4111111111111111 123.", "Room 12 4111 1111 1111 1111", "2024-05-06 4111111111111111",
+             "4111111111111111 123-45-6789", "4111111111111111 10.2.3.4", "378282246310005 4111-1111-1111-1111 99",
+             "12345678901234567890 4111111111111111", "2012-05-06 2012-07-08", "4111111111111112 123"]
+    counts = [1, 1, 1, 1, 2, 2, 2, 1, 0, 0]
+    texts.append("77 " * 30000 + "x 4111111111111111")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    done = {r["row"]["doc_id"]: r for r in pii.rewrite(docs).collect()}
+    assert [done[i]["n_replaced"] for i in range(len(counts))] == counts
+    plain = re.compile(r"4111([ -]?)1111\1" r"1111\1" r"1111(?!\d)|378282246310005|123-45-6789|10\.2\.3\.4")
+    for i, text in enumerate(texts):
+        new = done[i]["text"]
+        assert not plain.search(new) and (re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text) or "10.2.3.4" in text)
+        if i < len(counts) and not counts[i]:
+            assert new == text
+    for i, kept in enumerate([" 12/27", " 123."]):
+        assert done[i]["text"].endswith(kept) and luhn(done[i]["text"].removesuffix(kept))
+    assert done[2]["text"].startswith("Room 12 ") and luhn(done[2]["text"].removeprefix("Room 12 "))
+    assert done[3]["text"].startswith("2024-05-06 ") and luhn(done[3]["text"].removeprefix("2024-05-06 "))
