@@ -6,7 +6,7 @@ mail for mail, a Luhn-valid number with the same separators for a card, a given
 script for a given name. The distinct values are a table; candidates that two values share, or that equal some
 original, are drawn anew until all differ, so that distinct values stay distinct and one value reads the same
 everywhere. A name's words are replaced one by one, so "Mr John Smith", "Mr Smith" and a later bare "Smith" of
-the same text go together.
+the same text go together; a name's word of a single letter (an initial) is replaced within the name only.
 
 Results for odd input: null texts stay null; texts without entities stay as they are, and are not shuffled;
 numbers without a card among them stay; a null id is carried; repeated rows are rewritten alike; an empty table
@@ -327,7 +327,8 @@ def rewrite(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
     joined = some.join(lists, "key")
     between = F.split(F.col("row.text"), PATTERN, -1)
     words = F.array_distinct(F.flatten(F.filter(F.col("all.words"), lambda w: w.isNotNull())))
-    words = F.filter(words, lambda w: F.length(w["value"]) >= 3)
+    # Initials are replaced in the name alone.
+    words = F.filter(words, lambda w: w["value"].rlike(r"\p{L}.*\p{L}"))
     left = _let(words, lambda some: F.when(F.size(some) > 0, F.transform(between, lambda t: _bare(t, some)))
                 .otherwise(between))
     text = F.array_join(F.zip_with(left, F.col("all.new"), lambda t, n: F.concat(t, F.coalesce(n, F.lit("")))), "")

@@ -108,3 +108,10 @@ def test_cards_beside_other_digits(spark):
         assert done[i]["text"].endswith(kept) and luhn(done[i]["text"].removesuffix(kept))
     assert done[2]["text"].startswith("Room 12 ") and luhn(done[2]["text"].removeprefix("Room 12 "))
     assert done[3]["text"].startswith("2024-05-06 ") and luhn(done[3]["text"].removeprefix("2024-05-06 "))
+
+
+def test_short_names_go_along(spark):
+    docs = spark.createDataFrame([(1, "Mr Wu met Mrs Ng. Wu left, Ng stayed; Wuhan, Ngo. Mr J Li and J, Li.")], "doc_id long, text string")
+    new = pii.rewrite(docs).first()["text"]
+    found = re.fullmatch(r"Mr (\w+) met Mrs (\w+)\. (\w+) left, (\w+) stayed; Wuhan, Ngo\. Mr (\w+) (\w+) and J, (\w+)\.", new)
+    assert found and found.group(1, 2, 6) == found.group(3, 4, 7) and not {"Wu", "Ng", "Li"} & set(found.groups())
