@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
     A single longer text makes a slice of its own."""
     for batch in batches:
         lengths = batch.column(batch.schema.get_field_index(column)).fill_null("")
-        sizes = pa.compute.binary_length(lengths).to_pylist()
+        sizes = pc.binary_length(lengths).to_pylist()
         start, held = 0, 0
         for row, size in enumerate(sizes):
             if row > start and (row - start >= SLICE_ROWS or held + size > SLICE_BYTES):

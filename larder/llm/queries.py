@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import bpe, exact_dedup, langid, line_quality, maxent, mil, packing, pii, simhash, url_filter
+from larder.llm import bpe, exact_dedup, extract, hard_negatives, langid, line_quality, maxent, mil, packing, pii
+from larder.llm import runs, simhash, url_filter
 from larder.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,13 +56,31 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), bpe.default_path())
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, folder, "embeddings").withColumn(
+        "label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(rows, vec_id % 100 == 0)
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(table(spark, folder, "documents"), reword=runs.planted)
+
+
+def op13_html(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(table(spark, folder, "pages"))
+
+
+OPERATORS = [op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op5_quality_mil, op6_exact_dedup, op7_maxent,
+             op8_packing, op9_language, op10_bpe, op11_hard_negatives, op12_runs, op13_html]
+
+
 def queries() -> dict[str, Query]:
     """Name to a function of (session, folder of test tables)."""
-    return {f.__name__: f for f in (op1_pii, op2_line_quality, op3_simhash, op4_url_filter, op5_quality_mil, op6_exact_dedup, op7_maxent, op8_packing, op9_language,
-                                       op10_bpe)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
     return {"op2_line_quality": line_quality.sql(), "op4_url_filter": url_filter.sql(),
-            "op6_exact_dedup": exact_dedup.sql()}
+            "op6_exact_dedup": exact_dedup.sql(), "op11_hard_negatives": hard_negatives.sql()}
