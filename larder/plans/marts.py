@@ -185,7 +185,7 @@ class Marts:
 
     @cached_property
     def events(self) -> DataFrame:
-        return clickstream.events(self.events_stage, self.desertion_metrics)
+        return clickstream.events(self.events_stage, self.latest_buyer_metrics)
 
     @cached_property
     def daily_buyer(self) -> DataFrame:
@@ -210,6 +210,14 @@ class Marts:
     def desertion_metrics(self) -> DataFrame:
         return desertion.desertion_metrics(self.stored("daily_buyer"))
 
+    @cached_property
+    def latest_metrics(self) -> DataFrame:
+        return desertion.latest_metrics(self.stored("daily_buyer"))
+
+    @cached_property
+    def latest_buyer_metrics(self) -> DataFrame:
+        return desertion.latest_buyer_metrics(self.stored("daily_buyer"))
+
     @cached_property
     def buyer_outlet_features(self) -> DataFrame:
         return clusters.buyer_outlet_features(self.stored("desertion_metrics"), self.raw("categories"), as_of=self.as_of)

@@ -88,13 +88,15 @@ def activity_deltas(m: Marts) -> DataFrame:
     return digest(days, [*_each("{}_delta"), "period_days_from_minimum", "window_days", "create_datetime"])
 
 
+def _sparse(m: Marts) -> DataFrame:
+    return desertion.medians(desertion.facts(m.stored("daily_buyer")))
+
+
 def _graded(m: Marts) -> DataFrame:
     """Graded calendar of every unit; units without a buyer id have no grades."""
-    known = desertion.deltas(desertion.known_calendar(m.stored("daily_buyer")))
-    graded = desertion.outlet_grades(desertion.predictions(desertion.medians(known)))
     unknown = desertion.deltas(desertion.unknown_calendar(m.stored("daily_buyer")).withColumns(
         {c: F.lit(None).cast("date") for c in _each("previous_{}_date")}))
-    return graded.unionByName(unknown, allowMissingColumns=True)
+    return desertion.graded_days(_sparse(m)).unionByName(unknown, allowMissingColumns=True)
 
 
 def trailing_medians(m: Marts) -> DataFrame:
@@ -106,18 +108,13 @@ def outlet_grades(m: Marts) -> DataFrame:
                                     "predicted_next_{}_date"))
 
 
-def _known_graded(m: Marts) -> DataFrame:
-    days = desertion.deltas(desertion.known_calendar(m.stored("daily_buyer")))
-    return desertion.outlet_grades(desertion.predictions(desertion.medians(days)))
-
-
 def buyer_weights(m: Marts) -> DataFrame:
-    return comparable(desertion.buyer_weights(_known_graded(m)))
+    return comparable(desertion.buyer_weights(_sparse(m)))
 
 
 def buyer_days(m: Marts) -> DataFrame:
-    graded = desertion.staged(_known_graded(m), "calendar")
-    days = desertion.buyer_days(graded, desertion.buyer_weights(graded))
+    sparse = desertion.staged(_sparse(m), "medians")
+    days = desertion.buyer_days(desertion.graded_days(sparse), desertion.buyer_weights(sparse))
     grades = [*desertion.BUYER_GRADES.values(), "overall_weighted_buyer_grade"]
     return days.groupBy("buyer_id").agg(
         F.count(F.lit(1)).alias("days"),
@@ -133,8 +130,7 @@ def desertion_metrics(m: Marts) -> DataFrame:
 
 
 def latest_scores(m: Marts) -> DataFrame:
-    rows = m.desertion_metrics.filter(F.col("row_num_outlet") == 1)
-    return comparable(rows)
+    return comparable(m.latest_metrics)
 
 
 def buyer_department_outlet(m: Marts) -> DataFrame:
