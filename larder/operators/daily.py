@@ -13,6 +13,11 @@ DOCUMENT_MEASURES = ["document_quantity", "total_price_document"]
 INVENTORY_MEASURES = ["inventory_daily_count", "inventory_item_total_value"]
 MEASURES = ORDER_MEASURES + DOCUMENT_MEASURES + INVENTORY_MEASURES
 UNIT = ["buyer_id", "outlet_id"]
+# Columns of the unified orders that the marts read.
+BUYER_ORDERS = [*UNIT, "order_id", "checkout_id", "order_created_date", "quantity_packing_ordered_item",
+                "total_price_ordered_item", "total_price_recieved_item"]
+SUPPLIER_ORDERS = ["supplier_id", "order_id", "recieved_date_item", "total_price_recieved_item"]
+LINK_ORDERS = ["buyer_supplier_id", "buyer_id", *SUPPLIER_ORDERS]
 
 
 def daily_orders(unified: DataFrame) -> DataFrame:

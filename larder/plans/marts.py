@@ -97,13 +97,19 @@ class Marts:
     def order_unified(self) -> DataFrame:
         return orders.order_unified(self.raw("orders"), self.stored("demo_ids"), self.stored("buyer_timezone"))
 
+    def order_columns(self, columns: list[str]) -> DataFrame:
+        """Some columns of the unified orders: of their stored table, or of a fold that carries no others."""
+        if "order_unified" in self._stored:
+            return self._stored["order_unified"].select(*columns)
+        return orders.order_unified(self.raw("orders"), self.stored("demo_ids"), self.stored("buyer_timezone"), columns)
+
     @cached_property
     def order_header(self) -> DataFrame:
-        return orders.order_header(self.order_unified)
+        return orders.order_header(self.order_columns(orders.ROLLUP_COLUMNS))
 
     @cached_property
     def order_line(self) -> DataFrame:
-        return orders.order_line(self.order_unified)
+        return orders.order_line(self.order_columns(orders.LINES))
 
     @cached_property
     def document_header_stage(self) -> DataFrame:
@@ -190,17 +196,18 @@ class Marts:
     @cached_property
     def daily_buyer(self) -> DataFrame:
         return daily.daily_buyer(
-            self.buyer_outlet, self.buyer, self.order_unified, self.document_unified,
+            self.buyer_outlet, self.buyer, self.order_columns(daily.BUYER_ORDERS), self.document_unified,
             self.inventory_unified, as_of=self.as_of,
         )
 
     @cached_property
     def daily_buyer_supplier(self) -> DataFrame:
-        return daily.daily_buyer_supplier(self.supplier_unified, self.buyer_outlet, self.order_unified)
+        return daily.daily_buyer_supplier(
+            self.supplier_unified, self.buyer_outlet, self.order_columns(daily.LINK_ORDERS))
 
     @cached_property
     def daily_supplier(self) -> DataFrame:
-        return daily.daily_supplier(self.supplier_unified, self.order_unified)
+        return daily.daily_supplier(self.supplier_unified, self.order_columns(daily.SUPPLIER_ORDERS))
 
     @cached_property
     def non_active_buyers(self) -> DataFrame:

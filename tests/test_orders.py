@@ -102,3 +102,28 @@ def test_header_counts_only_positive_quantities(spark):
     row = orders.order_header(rows).first()
     assert (row.order_total_value, row.recieved_total_value) == (6.0, 2.0)
     assert (row.count_items_ordered, row.count_items_recieved) == (1, 1)
+
+
+def test_chosen_columns_are_those_of_the_whole_table(spark):
+    from larder.plans import reports
+
+    m = reports.marts(spark, "/root/testdata/sf0.001")
+    whole = m.order_unified
+    for columns in (daily.SUPPLIER_ORDERS, daily.LINK_ORDERS, daily.BUYER_ORDERS, orders.LINES, ["order_id"],
+                    ["item_name"], ["checkout_id", "sku_item"]):
+        some = m.order_columns(columns)
+        assert some.columns == columns
+        assert sorted(map(repr, some.collect())) == sorted(map(repr, whole.select(*columns).collect()))
+
+
+def test_folds_carry_only_what_is_asked(spark):
+    from larder.plans import reports
+
+    m = reports.marts(spark, "/root/testdata/sf0.001")
+
+    def plan(table):
+        return table._jdf.queryExecution().optimizedPlan().toString()
+
+    for name, zones in (("daily_supplier", 0), ("daily_buyer_supplier", 0), ("order_line", 1)):
+        assert plan(getattr(m, name)).count("convert_timezone") == zones
+    assert "CHECKOUTDATA" not in plan(m.daily_supplier) and "CHECKOUTDATA" in plan(m.daily_buyer)
