@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 
 from larder.operators import accounts, checks, clickstream, clusters, daily, desertion
 from larder.operators import documents, inventory, orders, suppliers
-from larder.sources.tables import staged, write_table
+from larder.operators.checks import Check
+from larder.sources.tables import publish, staged, write_version
 
 # Tables that are stored; everything else stays a view.
 BASE_TABLES = ["buyer", "buyer_group", "buyer_outlet", "buyer_user", "document_unified", "document_header",
@@ -24,6 +25,10 @@ VIEWS = ["demo_ids", "buyer_department_outlet", "buyer_timezone", "buyer_user_st
          "supplier_contact", "supplier_group_stage", "events_stage", "non_active_buyers"]
 
 
+# Checks of tables, made while they are written.
+CHECKS: dict[str, tuple[Check, ...]] = {"buyer_department_outlet": checks.HIERARCHY}
+
+
 class Marts:
     """Every operator applied to the raw inputs that `raw(name)` delivers, computed on demand."""
 
@@ -31,6 +36,8 @@ class Marts:
         self._inputs: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._read = raw
+        # What the checks of the tables stored so far have found.
+        self.check_results: list[checks.Result] = []
         self.as_of = as_of
 
     def raw(self, name: str) -> DataFrame:
@@ -42,7 +49,7 @@ class Marts:
     def stored(self, name: str) -> DataFrame:
         """A table that several others read, written once instead of computed for each of them."""
         if name not in self._stored:
-            self._stored[name] = staged(getattr(self, name), name)
+            self._stored[name] = staged(getattr(self, name), name, CHECKS.get(name, ()), self.check_results)
         return self._stored[name]
 
     @cached_property
@@ -231,7 +238,12 @@ class Marts:
 
     @cached_property
     def cluster_buyer_outlets(self) -> DataFrame:
-        return clusters.cluster_buyer_outlets(self.buyer_outlet_features)
+        return clusters.cluster_buyer_outlets(self.stored("buyer_outlet_features"))
+
+    @cached_property
+    def cluster_invariants(self) -> DataFrame:
+        features = self.stored("buyer_outlet_features")
+        return clusters.cluster_invariants(features, self.stored("cluster_buyer_outlets"))
 
     @cached_property
     def hierarchy_checks(self) -> DataFrame:
@@ -240,13 +252,20 @@ class Marts:
     def store(self, folder: str) -> None:
         """Full refresh: views are registered, base tables and marts written below `folder`.
 
-        Each stored table replaces its plan, so that later tables read Parquet instead of
-        computing the earlier ones again.
+        Each table is written as a new version, which later tables read instead of computing the earlier ones again.
+        Only when all are written do the new versions take the place of the old ones, each by one rename: a refresh that
+        fails before, or whose check fails, leaves every table as it was. Read them with ``tables.read_table``.
         """
+        versions = {}
         for name in VIEWS[:-1]:
             getattr(self, name).createOrReplaceTempView(name)
+        for name in CHECKS:
+            self.stored(name)
+        checks.refuse(self.check_results)
         for name in BASE_TABLES + MART_TABLES:
-            table = write_table(getattr(self, name), f"{folder}/{name}")
+            table, versions[name] = write_version(getattr(self, name), f"{folder}/{name}")
             setattr(self, name, table)
             self._stored[name] = table
+        for name, version in versions.items():
+            publish(table.sparkSession, f"{folder}/{name}", version)
         self.non_active_buyers.createOrReplaceTempView("non_active_buyers")

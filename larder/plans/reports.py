@@ -152,7 +152,7 @@ def cluster_sizes(m: Marts) -> DataFrame:
 SPECIAL = [calendar, activity_deltas, trailing_medians, outlet_grades, buyer_weights, buyer_days,
            desertion_metrics, latest_scores, buyer_department_outlet, events_stage, events, cluster_sizes]
 PLAIN = [*VIEWS, *BASE_TABLES, "daily_buyer", "daily_buyer_supplier", "daily_supplier",
-         "buyer_outlet_features", "cluster_buyer_outlets", "hierarchy_checks"]
+         "buyer_outlet_features", "cluster_buyer_outlets", "cluster_invariants", "hierarchy_checks"]
 
 
 def queries() -> dict[str, Query]:

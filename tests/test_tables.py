@@ -2,6 +2,10 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
+from larder.operators.checks import Check, CheckFailed, not_null
 from larder.sources import tables
 
 
@@ -21,3 +25,62 @@ def test_staged_results_end_with_their_block(spark):
         assert tables.staged(spark.range(3).toDF("x"), "three").count() == 3
         assert len(set(os.listdir(folder)) - before) == 1
     assert set(os.listdir(folder)) == before
+
+
+def test_a_write_that_fails_half_way_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    tables.write_table(spark.range(5).toDF("x"), path)
+    broken = spark.range(0, 1000, 1, 4).toDF("x").withColumn("x", F.expr("if(x = 900, raise_error('no'), x)").cast("long"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_table(broken, path)
+    assert sorted(r.x for r in tables.read_table(spark, path).collect()) == list(range(5))
+
+
+def test_the_version_before_stays_readable(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    planned = [tables.write_table(spark.range(n).toDF("x"), path) for n in (1, 2, 3)]
+    assert planned[2].count() == tables.read_table(spark, path).count() == 3
+    assert planned[1].count() == 2
+    assert len([name for name in os.listdir(path) if name.startswith(tables.VERSION)]) == 2
+    # A table may be replaced by rows computed from itself.
+    tables.write_table(tables.read_table(spark, path).selectExpr("x + 10 AS x"), path)
+    assert sorted(r.x for r in tables.read_table(spark, path).collect()) == [10, 11, 12]
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, str(tmp_path / "none"))
+
+
+def test_checks_are_counted_while_writing(spark, tmp_path):
+    path = str(tmp_path / "names")
+    rows = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "name string, n int")
+    tables.write_table(rows, path, [not_null("name", severity="warn"), Check("small", "n > 3")])
+    with pytest.raises(CheckFailed, match="not_null_name: 2 rows"):
+        tables.write_table(rows.withColumn("n", F.col("n") * 10), path, [not_null("name", tolerated=1)])
+    assert {r.n for r in tables.read_table(spark, path).collect()} == {1, 2, 3}
+    assert len([name for name in os.listdir(path) if name.startswith(tables.VERSION)]) == 1
+    found = []
+    tables.staged(rows, "checked", [not_null("name", tolerated=2), not_null("n")], found)
+    assert [(r.check_name, r.failing_rows, r.status) for r in found] == [("not_null_name", 2, "pass"), ("not_null_n", 0, "pass")]
+
+
+def test_a_machines_own_folder_is_refused_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        """The session, as if it ran on a cluster and named no shared folder."""
+
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: None if name == tables.CHECKPOINT_DIR
+                                                     else "file:/opt/own")})
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+    with pytest.raises(RuntimeError, match="folder that all machines share"):
+        tables.shared_folder(Cluster)
+
+
+def test_everything_but_the_result_is_deleted(spark):
+    folder = tables.shared_folder(spark)
+    before = set(os.listdir(folder))
+
+    def build():
+        return tables.staged(tables.staged(spark.range(4).toDF("x"), "one").filter("x > 0"), "two").filter("x > 1")
+
+    result = tables.staged_alone(build, "result")
+    assert len(set(os.listdir(folder)) - before) == 1 and result.count() == 2
