@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.dialect import ntz_from_millis
 from larder.functions.variants import elements, member_count, parsed, path_text
-from larder.functions.versions import latest_version, not_in
+from larder.functions.versions import UPDATE_ORDER, latest_version, not_in
 
 ROLE_MODULES = ("Purchasing", "Accounts Payable", "Inventory", "Recipes")
 
@@ -23,27 +23,26 @@ def _live_buyers(buyers: DataFrame, demo: DataFrame, nested: list[str]) -> DataF
 
     That time is the running minimum of the versions' creation times in *text* order, up to the
     latest version. Among texts of equal length text order is numeric order, so the smallest text
-    per length is enough, and the versions are reduced to that before the shuffle.
+    per length is enough. One pass over the log carries both: the newest version, and the smallest text of every
+    length, each reduced before a shuffle.
     """
     live = not_in(buyers.filter("NOT ISDEMOACCOUNT AND NOT ISDELETED"), "_ID", demo).selectExpr(
         "_ID", "UPDATEDATETIME", "__TS_MS", *nested,
         f"{path_text(parsed('RECORD_METADATA'), '$.CreateTime')} AS _created",
     )
-    smallest = (
-        live.filter("_created IS NOT NULL")
-        .groupBy(F.expr("_ID AS _key"), F.expr("length(_created)"))
-        .agg(F.min("_created").alias("_first"))
-        .groupBy("_key")
-        .agg(F.collect_list("_first").alias("_firsts"))
+    # A NULL ranks before every value, as in ``latest_version``.
+    order = F.struct(*[part for c in UPDATE_ORDER for part in (F.col(c).isNull(), F.col(c))])
+    per_length = live.groupBy("_ID", F.length("_created").alias("_length")).agg(
+        F.min("_created").alias("_first"), F.max(order).alias("_order"),
+        F.max_by(F.struct("UPDATEDATETIME", "_created", *nested), order).alias("_newest"),
     )
+    folded = per_length.groupBy("_ID").agg(
+        F.collect_list("_first").alias("_firsts"), F.max_by("_newest", "_order").alias("_newest"))
     first_millis = (
         "array_min(transform(filter(_firsts, t -> _created IS NULL OR t <= _created), t -> CAST(t AS BIGINT)))"
     )
-    return (
-        latest_version(live, "_ID")
-        .join(smallest, F.expr("_ID <=> _key"), "left")
-        .selectExpr("_ID", "UPDATEDATETIME", *nested, f"{ntz_from_millis(first_millis)} AS buyer_created_at")
-    )
+    return folded.select("_ID", "_firsts", "_newest.*").selectExpr(
+        "_ID", "UPDATEDATETIME", *nested, f"{ntz_from_millis(first_millis)} AS buyer_created_at")
 
 
 def chain(chains: DataFrame) -> DataFrame:

@@ -84,3 +84,21 @@ def test_member_count(spark):
 def test_dates_move_by_rounded_days(spark):
     row = spark.sql("SELECT date'2000-01-01' d, 2.5D n").select(dialect.add_days(F.col("d"), F.col("n"))).first()
     assert row[0] == dt.date(2000, 1, 4)
+
+
+def test_the_buyer_log_is_read_once(spark):
+    from larder.operators import accounts
+
+    rows = [("B1", False, False, 1, 0, "x", '{"CreateTime": "900"}'), ("B1", False, False, 3, 0, "new", '{"CreateTime": "1000"}'),
+            ("B1", False, False, 2, 0, "old", '{"CreateTime": "2000"}'), ("B2", False, False, 5, 0, "first", None),
+            ("B2", False, False, None, 0, "newest", "{}"), ("B2", False, True, 9, 0, "deleted", None),
+            (None, False, False, 1, 1, "a", None), (None, False, False, 1, 2, "b", '{"CreateTime": "5"}')]
+    log = spark.createDataFrame(rows, "_ID string, ISDEMOACCOUNT boolean, ISDELETED boolean, UPDATEDATETIME int, "
+                                      "__TS_MS int, NAME string, RECORD_METADATA string")
+    live = accounts._live_buyers(log, spark.createDataFrame([], "demo_id string"), ["NAME"])
+    got = {(r._ID, r.NAME, None if r.buyer_created_at is None else r.buyer_created_at.timestamp() * 1000) for r in live.collect()}
+    zero = dt.datetime(1970, 1, 1).timestamp() * 1000
+    # Text order: "1000" comes before "900".
+    assert got == {("B1", "new", zero + 1000), ("B2", "newest", None), (None, "b", zero + 5)}
+    plan = live._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("NAME#" in line and ("LogicalRDD" in line or "LocalRelation" in line) for line in plan.splitlines()) == 1
