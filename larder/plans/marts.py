@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from larder.operators import accounts, checks, clickstream, clusters, daily, desertion
 from larder.operators import documents, inventory, orders, suppliers
 from larder.operators.checks import Check
-from larder.sources.tables import publish, staged, write_version
+from larder.sources.tables import drop_staged, publish, staged, staged_so_far, write_version
 
 # Tables that are stored; everything else stays a view.
 BASE_TABLES = ["buyer", "buyer_group", "buyer_outlet", "buyer_user", "document_unified", "document_header",
@@ -36,6 +36,7 @@ class Marts:
         self._inputs: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._read = raw
+        self._since = staged_so_far()
         # What the checks of the tables stored so far have found.
         self.check_results: list[checks.Result] = []
         self.as_of = as_of
@@ -249,23 +250,47 @@ class Marts:
     def hierarchy_checks(self) -> DataFrame:
         return checks.hierarchy_checks(self.stored("buyer_department_outlet"))
 
-    def store(self, folder: str) -> None:
-        """Full refresh: views are registered, base tables and marts written below `folder`.
+    def store(self, folder: str, database: str | None = None) -> None:
+        """Full refresh: base tables and marts are written below `folder`, views registered for the session.
 
         Each table is written as a new version, which later tables read instead of computing the earlier ones again.
         Only when all are written do the new versions take the place of the old ones, each by one rename: a refresh that
         fails before, or whose check fails, leaves every table as it was. Read them with ``tables.read_table``.
+
+        With `database` every table and view also gets a view in the catalog, which other sessions see. Spark stores
+        SQL text there, and these operators have none: the rows of the views are written as well, and the catalog's views
+        show the versions of this refresh.
         """
         versions = {}
-        for name in VIEWS[:-1]:
-            getattr(self, name).createOrReplaceTempView(name)
         for name in CHECKS:
             self.stored(name)
         checks.refuse(self.check_results)
-        for name in BASE_TABLES + MART_TABLES:
+        written = VIEWS[:-1] if database else []
+        for name in written + BASE_TABLES + MART_TABLES + (VIEWS[-1:] if database else []):
             table, versions[name] = write_version(getattr(self, name), f"{folder}/{name}")
             setattr(self, name, table)
             self._stored[name] = table
+        spark = table.sparkSession
+        for name in VIEWS:
+            getattr(self, name).createOrReplaceTempView(name)
         for name, version in versions.items():
-            publish(table.sparkSession, f"{folder}/{name}", version)
-        self.non_active_buyers.createOrReplaceTempView("non_active_buyers")
+            publish(spark, f"{folder}/{name}", version)
+        if database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+            for name, version in versions.items():
+                spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS "
+                          f"SELECT * FROM parquet.`{folder}/{name}/{version}`")
+
+    def close(self) -> None:
+        """Delete the intermediate tables written since this object was made; tables that `store` has written stay.
+
+        Results that were not stored or collected cannot be computed any more."""
+        for source in list(self._inputs.values())[:1]:
+            drop_staged(source.sparkSession, self._since)
+        self._stored.clear()
+
+    def __enter__(self) -> Marts:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.close()

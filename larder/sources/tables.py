@@ -158,6 +158,11 @@ def staged(df: DataFrame, name: str, checks: Iterable[Check] = (), found: list[R
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_so_far() -> int:
+    """Number of intermediate results written and not deleted yet."""
+    return len(_written)
+
+
 def drop_staged(spark: SparkSession, since: int = 0, keep: Iterable[str] = ()) -> None:
     """Delete what `staged` wrote after the first `since` results, but for the paths in `keep`. Results computed from
     it must be stored before."""
