@@ -14,6 +14,7 @@ without a known symbol has no ids, as in the public library. Other columns are i
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import unicodedata
@@ -26,14 +27,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from larder.llm.common import Remembered, column_of, map_texts, texts
+from larder.llm.common import ENTRY_BYTES, Remembered, column_of, map_texts, texts
 
-# Young chunks remembered by a worker, and pieces.
+# Bytes of young chunks that a worker remembers; as many of older ones, and as many of pieces.
+REMEMBERED_BYTES = 20 << 20
 REMEMBERED_CHUNKS = 400_000
+MOST_PIECE_BYTES = 80 << 20
 # New chunks encoded together.
 CHUNKS_AT_ONCE = 50_000
 # All special tokens of the vocabulary begin so; they are the only strings in which case counts.
@@ -61,12 +63,33 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _specification(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+@lru_cache(maxsize=4)
+def id_names(path: str) -> pa.Array:
+    """The name of every id of a vocabulary: all that decoding needs."""
+    spec = _specification(path)
+    named = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    names = [""] * (1 + max(named.values()))
+    for name, i in named.items():
+        names[i] = name
+    return pa.array(names, pa.string())
+
+
+@lru_cache(maxsize=4)
+def id_digits(path: str) -> pa.Array:
+    """The decimal text of every id of a vocabulary."""
+    return pa.array([str(i) for i in range(len(id_names(path)))], pa.string())
+
+
 class WordBpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED_CHUNKS):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+    def __init__(self, path: str, remembered: int = REMEMBERED_CHUNKS, most_bytes: int = REMEMBERED_BYTES):
+        spec = _specification(path)
         model = spec["model"]
         self.end = model["end_of_word_suffix"]
         vocabulary = model["vocab"]
@@ -84,13 +107,10 @@ class WordBpe:
         self.merges = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.merges[(vocabulary[a], vocabulary[b])] = (rank, vocabulary[a + b])
-        names = [""] * (1 + max([*vocabulary.values(), *special.values()]))
-        for name, i in [*vocabulary.items(), *special.items()]:
-            names[i] = name
-        self.names = pa.array(names, pa.string())
         folds = any(n["type"] == "Lowercase" for n in spec["normalizer"]["normalizers"])
-        self._known = Remembered(remembered, SPECIAL_MARK if folds else None)
+        self._known = Remembered(remembered, SPECIAL_MARK if folds else None, most_bytes)
         self._known_pieces: dict[str, bytes] = {}
+        self._most_piece_bytes, self._piece_bytes = min(most_bytes, MOST_PIECE_BYTES), 0
 
     def _pieces(self, chunk: bytes) -> list[str | int]:
         """The pieces of one chunk; a special token is its id."""
@@ -179,14 +199,16 @@ class WordBpe:
     def _learn(self, chunks: list[bytes]) -> list[bytes]:
         """Encode chunks that are not remembered."""
         known = self._known_pieces
-        if len(known) > REMEMBERED_CHUNKS:
-            known.clear()
         found = []
         for start in range(0, len(chunks), CHUNKS_AT_ONCE):
             cut = [self._pieces(c) for c in chunks[start:start + CHUNKS_AT_ONCE]]
+            if self._piece_bytes > self._most_piece_bytes:
+                known.clear()
+                self._piece_bytes = 0
             missing = list({p for pieces in cut for p in pieces if type(p) is str and p not in known})
             for piece, ids in zip(missing, self._piece_ids(missing)):
                 known[piece] = array("i", ids).tobytes()
+                self._piece_bytes += len(piece) + 4 * len(ids) + ENTRY_BYTES
             found += [known[pieces[0]] if len(pieces) == 1 and type(pieces[0]) is str else
                       b"".join([known[p] if type(p) is str else array("i", [p]).tobytes() for p in pieces])
                       for pieces in cut]
@@ -221,30 +243,45 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return map_texts(docs.select("doc_id", "text"), run, schema)
 
 
+def spelt(ids: pa.ListArray, words: pa.Array) -> pa.Array:
+    """The words of the ids of each list, with a space between two; the empty text for a null list."""
+    # Offsets count from the first value of the slice's own buffer.
+    counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(ends, words.take(ids.flatten())), " ")
+
+
 def with_decoded(encoded: DataFrame, path: str) -> DataFrame:
     """Add `decoded`: the names of the ids, special ones too, with a space between two."""
     schema = T.StructType([f for f in encoded.schema.fields if f.name != "decoded"]
                           + [T.StructField("decoded", T.StringType())])
 
     def run(batches):
-        names = encoder(path).names
+        names = id_names(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                ids = column_of(part, "ids")
-                # Offsets count from the first value of the slice's own buffer.
-                counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-                ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
-                spelt = pa.ListArray.from_arrays(ends, names.take(ids.flatten()))
                 columns = [column_of(part, f.name) for f in schema.fields[:-1]]
-                yield pa.RecordBatch.from_arrays([*columns, pc.binary_join(spelt, " ")], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*columns, spelt(column_of(part, "ids"), names)], names=schema.names)
 
     return encoded.drop("decoded").mapInArrow(run, schema)
 
 
+def _sha256(some: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(text.as_buffer() if text.is_valid else b"").hexdigest() for text in some], pa.string())
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
-    done = with_decoded(encode(docs, path), path)
-    spelt = F.concat_ws(" ", F.col("ids").cast("array<string>"))
-    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(spelt, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row.
+
+    Texts are encoded, decoded and hashed in one worker: neither ids nor decoded texts leave it."""
+    schema = T.StructType([docs.select("doc_id").schema[0], T.StructField("n_tokens", T.LongType()),
+                           T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = id_lists(encoder(path).encode(texts(batch)))
+        return pa.RecordBatch.from_arrays(
+            [column_of(batch, "doc_id"), pc.list_value_length(ids).cast(pa.int64()),
+             _sha256(spelt(ids, id_digits(path))), _sha256(spelt(ids, id_names(path)))], names=schema.names)
+
+    return map_texts(docs.select("doc_id", "text"), run, schema)

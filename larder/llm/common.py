@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 # Documents handled at once inside a task: bounds the Python side whatever the Arrow batch holds.
 SLICE_ROWS = 512
 SLICE_BYTES = 4 << 20
+# What a remembered chunk takes beside its own bytes: two objects and a place in the table.
+ENTRY_BYTES = 170
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,14 +65,16 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 
 
 class Remembered(dict):
-    """Encoded chunks of text, of which a worker remembers the latest: `limit` young ones and as many older.
+    """Encoded chunks of text, of which a worker remembers the latest: `limit` young ones and as many older, and where
+    `most_bytes` is given at most about so many bytes of each.
 
     Forgetting only costs time. Chunks are the runs between ASCII white space. `case_mark` is set for encodings
     that do not tell cases apart but for texts with that mark in them: others are put in lower case first."""
 
-    def __init__(self, limit: int, case_mark: bytes | None = None):
+    def __init__(self, limit: int, case_mark: bytes | None = None, most_bytes: int | None = None):
         super().__init__()
         self.limit, self.case_mark, self.older, self.unknown = limit, case_mark, {}, set()
+        self.most_bytes, self.held = most_bytes, 0
 
     def _chunks(self, text: str) -> list[bytes]:
         data = text.encode()
@@ -91,10 +95,14 @@ class Remembered(dict):
         if self.unknown:
             new = list(self.unknown)
             self.unknown = set()
-            if len(self) + len(new) > self.limit:
-                self.older = dict(self)
+            values = learn(new)
+            more = sum(map(len, new)) + sum(map(len, values)) + ENTRY_BYTES * len(new)
+            if len(self) + len(new) > self.limit or self.most_bytes and self.held + more > self.most_bytes:
+                self.older = dict(self) if self.most_bytes is None or self.held <= self.most_bytes else {}
                 self.clear()
-            self.update(zip(new, learn(new)))
+                self.held = 0
+            self.held += more
+            self.update(zip(new, values))
             for chunks, values in zip(split, found):
                 if not all(values):
                     for at, value in enumerate(values):

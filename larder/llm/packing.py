@@ -40,13 +40,14 @@ GROUPS = 300
 MAX_PIVOTS = 2000
 # Young chunks whose ids a worker remembers.
 REMEMBERED_CHUNKS = 700_000
+REMEMBERED_BYTES = 160 << 20
 
 
 class LibraryIds(WordBpe):
     """Ids by the public library's model, which sees each distinct piece once."""
 
     def __init__(self, path: str):
-        super().__init__(path, REMEMBERED_CHUNKS)
+        super().__init__(path, REMEMBERED_CHUNKS, REMEMBERED_BYTES)
         self._letters = dict(enumerate(byte_letters()))
 
     def _piece_ids(self, pieces: list[str]) -> list[list[int]]:

@@ -41,11 +41,22 @@ def test_any_text_encodes_as_the_library(text):
 
 
 def test_forgetting_changes_nothing(monkeypatch):
-    small = bpe.WordBpe(PATH)
-    small._known.limit = 3
-    texts = ["one two three four", "two five six", "one seven eight two", "nine ten one"] * 3
-    for _ in range(3):
-        assert [np.frombuffer(i, "<i4").tolist() for i in small.encode(texts)] == [library_ids(t) for t in texts]
+    few, little = bpe.WordBpe(PATH), bpe.WordBpe(PATH, most_bytes=1000)
+    few._known.limit = 3
+    texts = ["one two three four", "two five six", "one seven eight two", "nine ten one", "w" * 3000] * 3
+    for small in (few, little):
+        for _ in range(3):
+            assert [np.frombuffer(i, "<i4").tolist() for i in small.encode(texts)] == [library_ids(t) for t in texts]
+
+
+def test_a_worker_remembers_a_bounded_number_of_bytes():
+    small = bpe.WordBpe(PATH, most_bytes=100_000)
+    for start in range(0, 20_000, 500):
+        small.encode([" ".join(f"word{i}x{i * 7}" for i in range(start, start + 500)) + " " + "y" * start])
+        held = [sum(len(k) + len(v) + bpe.ENTRY_BYTES for k, v in some.items())
+                for some in (small._known, small._known.older, small._known_pieces)]
+        # Each may go over its bound by what one slice of texts adds.
+        assert max(held) <= 100_000 + 500 * (bpe.ENTRY_BYTES + 60) + 8 * start + 1000
 
 
 def brute_digest(doc, text):
