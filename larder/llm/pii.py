@@ -1,16 +1,27 @@
 """Surrogates for personal data, by DataFrame functions alone.
 
-Detected entities (mail addresses, secrets in hex, IPv4 addresses, phone numbers, social security numbers, card
-numbers that pass the Luhn check, and names after a form of address) get replacements derived from a key:
-mail for mail, a Luhn-valid number with the same separators for a card, a given name of the same gender and
-script for a given name. The distinct values are a table; candidates that two values share, or that equal some
-original, are drawn anew until all differ, so that distinct values stay distinct and one value reads the same
-everywhere. A name's words are replaced one by one, so "Mr John Smith", "Mr Smith" and a later bare "Smith" of
-the same text go together; a name's word of a single letter (an initial) is replaced within the name only.
-
-Results for odd input: null texts stay null; texts without entities stay as they are, and are not shuffled;
-numbers without a card among them stay; a null id is carried; repeated rows are rewritten alike; an empty table
-gives an empty result; other columns, whatever their names, are carried (n_chars follows the text).
+Detected are mail addresses, IPv4 addresses, phone numbers (with a country code, a bracketed area code, or three
+groups over hyphens or dots), US social security numbers, card numbers, secrets (hexadecimal of 32, 40 or 64 digits,
+access keys with the usual prefixes, values with a digit after `password=` and the like), and names after a form of
+address. A card has 13 to 19 digits in one piece, or groups of 4-4-4-4, 4-4-4-4-3 or 4-6-5 digits over one kind of
+separator, the first digits of an issuer, and passes the Luhn check; groups in a longer row of numbers are none. Not
+detected: IPv6 addresses, account numbers (IBAN), postal addresses, national phone numbers in other layouts, and names
+without a form of address.
+
+Replacements are drawn from a key and a value's normal form: the digits of a number, lower case for a mail address or
+a name. Layout and case are put on afterwards, so that one value in two layouts stays one value. They keep type, script
+and format, a card its Luhn sum, a given name its gender. The distinct values are a table; candidates that two values
+share, or that equal some original, are drawn anew until all differ, so that distinct values stay distinct.
+
+Within a text a name's word has one meaning: it is a surname if it is the last of several words after a title there,
+else a given name if it is an earlier one, else (a lone word) a surname. A given name's gender comes from any
+title of the text that shows it. Later in the text the bare word goes along, as it was written, unless it is a single
+letter, a common word (COMMON_WORDS) or written in lower case in the same text as well; earlier ones stay.
+
+Results for odd input: null texts stay null; texts without entities stay as they are; a null id is carried; repeated
+rows are rewritten alike; an empty table gives an empty result; texts of any length are read whole, no pattern
+recurses with their length; host names of more than 127 labels are no mail address; other columns, whatever their
+names, are carried (n_chars follows the text).
 """
 
 from __future__ import annotations
@@ -57,22 +68,46 @@ ENDINGS = {
     "greek": {"m": ["ος", "ης", "ας", "ων"], "f": ["α", "η", "ία", "ώ"], "n": ["ι", "ο", "υ", "ε"]},
 }
 
+# Words that are names and something else; alone they are not taken for a name met before.
+COMMON_WORDS = (
+    "April Art August Banks Bill Black Brown Cash Chase Cook Cross Day Dean Drew Faith Fields Frank Grace Grant Gray Green "
+    "Hill Hope Hunter Ivy Jack June King Lane Long Mark May Miles Page Park Pat Price Prince Rich Rob Rose Rush Short "
+    "Skip Stone Sue Summer Sun Sunday Wade Ward White Will Winter Wood Woods Young").split()
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _NAME = r"\p{Lu}[\p{L}\p{M}'’-]*"
-_TITLES = "|".join(t for gender in ADDRESS.values() for t in sorted(gender, key=len, reverse=True))
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
-SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![0-9A-Za-z])"
+# A title as listed, in capitals, or in small letters before a full stop.
+TITLES = sorted({form for some in ADDRESS.values() for t in some for form in (t, t.upper())}, key=lambda t: (-len(t), t))
+LOWER_TITLES = "prof mlle mrs sra mme mr ms dr sr".split()
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@(?:[A-Za-z0-9-]+\.){1,127}[A-Za-z]{2,}"
+HEX = r"(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})"
+SECRET = rf"(?<![0-9A-Za-z]){HEX}(?![0-9A-Za-z])"
+ACCESS_KEY = r"(?<![0-9A-Za-z])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk[-_][0-9A-Za-z_-]{16,64})(?![0-9A-Za-z])"
+ASSIGNMENT = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
+ASSIGNED = rf"{ASSIGNMENT}(?=[^\s\"']{{0,127}}[0-9])[0-9A-Za-z+/_.~-]{{8,128}}(?![0-9A-Za-z+/_~-])"
 IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 PHONE = r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])" \
-        r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
+        r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])" \
+        r"|(?<![0-9.-])[2-9][0-9]{2}(?:-[0-9]{3}-|\.[0-9]{3}\.)[0-9]{4}(?![0-9]|[.-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-# Groups of digits over single blanks or hyphens, 13 digits at least, up to the next entity: a card may be some of them.
-CARD = r"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]{1,19}+(?![0-9])" \
-       rf"(?:[ -](?!{SECRET}|{IPV4}|{SSN}|{EMAIL})[0-9]{{1,19}}+(?![0-9]))*+"
-# The usual layouts of a card number.
-LAYOUTS = ["[0-9]{13,19}", r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?", r"[0-9]{4}([ -])[0-9]{6}\1[0-9]{4,5}"]
-PERSON = rf"(?<![\p{{L}}\p{{M}}])(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}"
-PATTERN = "|".join([EMAIL, SECRET, IPV4, PHONE, SSN, CARD, PERSON])
+# First digits of the card issuers.
+ISSUER = "(?=4|5[0-8]|2[2-7]|3[04-9]|6[02-57])"
+# Groups over one separator, with less than two more groups before them and less than three after them.
+_GROUPED = "|".join(
+    rf"(?<![0-9]{s}[0-9]{{1,9}}{s}){ISSUER}[0-9]{{4}}{s}(?:[0-9]{{4}}{s}[0-9]{{4}}{s}[0-9]{{4}}(?:{s}[0-9]{{3}}(?![0-9]))?"
+    rf"|[0-9]{{6}}{s}[0-9]{{4,5}})(?![0-9])(?!(?:{s}[0-9]{{1,9}}){{3}})" for s in (" ", "-"))
+CARD = rf"(?<![0-9])(?:{ISSUER}[0-9]{{13,19}}(?![0-9])|{_GROUPED})"
+PERSON = rf"(?<![\p{{L}}\p{{M}}])(?:(?:{'|'.join(TITLES)})\.?|(?:{'|'.join(LOWER_TITLES)})\.)\s{{1,3}}{_NAME}(?: {{1,2}}{_NAME}){{0,2}}"
+PATTERN = "|".join([EMAIL, ASSIGNED, SECRET, ACCESS_KEY, IPV4, PHONE, SSN, CARD, PERSON])
+
+
+def may_hold(text: Column) -> Column:
+    """A cheap test that every text with an entity passes: all but names hold a digit, an at sign or a key's prefix."""
+    marks = ["@", "AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "sk_",
+             *TITLES, *[f"{t}." for t in LOWER_TITLES]]
+    # A mark that holds another one adds nothing.
+    least = [m for m in marks if not any(o != m and o in m for o in marks)]
+    return reduce(Column.__or__, [text.contains(m) for m in least], text.rlike("[0-9]"))
 
 
 def _literals(values: list[str]) -> Column:
@@ -90,46 +125,43 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(weighed, F.lit(0), lambda a, b: a + b)
 
 
-def cards_in(run: Column) -> Column:
-    """(start, value) of the cards in a match of CARD: groups of 13 to 19 digits that pass the Luhn check, without overlaps.
-
-    A usual layout goes before any other one, then the one that begins first, then the longer one."""
-    windows = F.regexp_extract_all(run, F.lit("(?<![0-9])(?=([0-9]+(?:[ -][0-9]+){0,18}))"), 1)
-
-    def passing(window: Column, patterns: list[str]) -> Column:
-        found = F.filter(F.array(*(F.regexp_extract(window, f"^(?:{p})(?![0-9])", 0) for p in patterns)), lambda c: F.length(c) > 0)
-        return F.get(F.filter(found, lambda c: _luhn_sum(_digits(c)) % 10 == 0), F.lit(0))
-
-    lengths = [f"[0-9](?:[ -]?[0-9]){{{n - 1}}}" for n in range(19, 12, -1)]
-    tried = F.transform(windows, lambda w: F.struct(F.length(F.regexp_extract(w, "^[0-9]+", 0)).alias("width"),
-                                                    passing(w, LAYOUTS).alias("usual"), passing(w, lengths).alias("other")))
+def kind_of(value: Column) -> Column:
+    """Kind of a match of PATTERN; null for numbers that are no card."""
+    is_hex, assigned = value.rlike(f"^{HEX}$"), value.rlike(f"^{ASSIGNMENT}")
+    return (F.when(assigned, F.when(_assigned_value(value).rlike(f"^{HEX}$"), "secret").otherwise("password"))
+            .when(value.contains("@"), "email").when(is_hex, "secret")
+            .when(value.rlike("^(?:AKIA|ASIA|gh[pousr]_|sk[-_])"), "key")
+            .when(value.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ipv4")
+            .when(value.rlike(r"^[+(]|^[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}$"), "phone")
+            .when(value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").when(value.rlike(r"^\p{L}"), "person")
+            .when(_luhn_sum(_digits(value)) % 10 == 0, "card"))
 
-    def chosen(all_tried: Column) -> Column:
-        def one(t: Column, i: Column) -> Column:
-            inside = F.slice(all_tried, i + 2, F.greatest(F.size(F.split(t["other"], "[ -]")) - 1, F.lit(0)))
-            free = ~F.exists(inside, lambda u: u["usual"].isNotNull())
-            return F.struct(t["width"].alias("width"), F.coalesce(t["usual"], F.when(free, t["other"])).alias("value"))
 
-        return F.transform(all_tried, one)
+def _assigned_value(value: Column) -> Column:
+    return F.regexp_replace(value, f"^{ASSIGNMENT}", "")
 
-    def add(state: Column, t: Column) -> Column:
-        takes = t["value"].isNotNull() & (state["at"] >= state["free"])
-        return F.struct(
-            (state["at"] + t["width"] + 1).alias("at"),
-            F.when(takes, state["at"] + F.length(t["value"])).otherwise(state["free"]).alias("free"),
-            F.when(takes, F.concat(state["cards"], F.array(F.struct(state["at"].alias("start"), t["value"].alias("value")))))
-            .otherwise(state["cards"]).alias("cards"))
 
-    start = F.struct(F.lit(1).alias("at"), F.lit(1).alias("free"), F.array().cast("array<struct<start:int,value:string>>").alias("cards"))
-    return F.aggregate(_let(tried, chosen), start, add, lambda state: state["cards"])
+def normal_form(kind: Column, match: Column) -> Column:
+    """What makes a match the same value as another one: its replacement is drawn from this."""
+    value = _assigned_value(match)
+    national = F.when(match.startswith("+"), F.lit("")).when(F.length(_digits(match)) == 10, "1").otherwise("")
+    return (F.when(kind == "card", _digits(match)).when(kind == "phone", F.concat(F.lit("+"), national, _digits(match)))
+            .when(kind.isin("email", "secret"), F.lower(value)).otherwise(value))
 
 
-def kind_of(value: Column) -> Column:
-    """Kind of a match of PATTERN; null for numbers without a card among them."""
-    return (F.when(value.contains("@"), "email").when(value.rlike("^[0-9a-f]{32,}$"), "secret")
-            .when(value.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ipv4").when(value.rlike(r"^[+(]"), "phone")
-            .when(value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").when(value.rlike(r"^\p{L}"), "person")
-            .when(F.size(cards_in(value)) > 0, "card"))
+def dressed(kind: Column, match: Column, surrogate: Column) -> Column:
+    """A normal form's surrogate in the layout and case of a match."""
+    digits = _digits(surrogate)
+    phone = digits.substr(F.length(digits) - F.length(_digits(match)) + 1, F.length(digits))
+    local = F.length(F.substring_index(match, "@", 1))
+    mail = F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(
+        (i < local) & match.substr(i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
+    prefix = F.regexp_extract(match, f"^(?:{ASSIGNMENT})?", 0)
+    value = _assigned_value(match)
+    hexed = F.when(value.rlike("[A-F]"), F.upper(surrogate)).otherwise(surrogate)
+    return (F.when(kind == "card", _placed(match, surrogate)).when(kind == "phone", _placed(match, phone))
+            .when(kind == "email", mail).when(kind == "secret", F.concat(prefix, hexed))
+            .when(kind == "password", F.concat(prefix, surrogate)).otherwise(surrogate))
 
 
 def _drawn(key: str, *parts: Column) -> Column:
@@ -195,13 +227,22 @@ def _placed(value: Column, digits: Column) -> Column:
         c.rlike("[0-9]"), digits.substr(nth(i), F.lit(1))).otherwise(c)), "")
 
 
+# Country codes of one or two digits; all others have three.
+SHORT_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+
+
 def _phone(value: Column, drawn: Column) -> Column:
-    """The country code and all separators stay; North American numbers get the fictional exchange 555."""
-    code = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])|^\+1|^\+[0-9]{2}", 0)
-    rest = value.substr(F.length(code) + 1, F.length(value))
-    new = _alike(rest, drawn)
-    return F.concat(code, F.when(_digits(code).isin("1", "") & rest.rlike(r"[0-9]{3}\D{0,2}[0-9]{3}\D?[0-9]{4}$"),
-                                 F.regexp_replace(new, r"[0-9]{3}(\D?[0-9]{4})$", "555$1")).otherwise(new))
+    """The country code stays; North American numbers get the fictional exchange 555."""
+    code = F.regexp_extract(value, rf"^\+(?:{SHORT_CODES}|[0-9]{{3}})", 0)
+    new = _alike(value.substr(F.length(code) + 1, F.length(value)), drawn)
+    return F.concat(code, F.when((code == "+1") & (F.length(new) == 10), F.regexp_replace(new, "[0-9]{3}([0-9]{4})$", "555$1"))
+                    .otherwise(new))
+
+
+def _key(value: Column, drawn: Column) -> Column:
+    """The prefix stays."""
+    prefix = F.regexp_extract(value, "^(?:AKIA|ASIA|gh[pousr]_|sk[-_])", 0)
+    return F.concat(prefix, _alike(value.substr(F.length(prefix) + 1, F.length(value)), drawn))
 
 
 def _card(value: Column, drawn: Column) -> Column:
@@ -216,7 +257,7 @@ def _script(word: Column) -> Column:
 
 
 def _word(value: Column, kind: Column, drawn: Column, attempt: Column) -> Column:
-    """A name's word: kind is given_<gender> or surname."""
+    """A name's word in small letters: kind is given_<gender> or surname."""
     found = F.lit(None).cast("string")
     for script, syllables in SYLLABLES.items():
         stem = F.array_join(F.transform(F.sequence(F.lit(4), F.lit(6) + attempt), lambda i: _from(syllables, drawn[i % 32])), "")
@@ -227,7 +268,7 @@ def _word(value: Column, kind: Column, drawn: Column, attempt: Column) -> Column
             given = F.when(attempt == 0, _from(GIVEN[script][gender], drawn[1])).otherwise(later)
             word = F.when(kind == f"given_{gender}", given).otherwise(word)
         found = F.when(_script(value) == script, word).otherwise(found)
-    return F.when((F.length(value) > 1) & (value == F.upper(value)), F.upper(found)).otherwise(F.initcap(found))
+    return F.lower(found)
 
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
@@ -236,6 +277,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     def candidate(drawn: Column) -> Column:
         return (F.when(kind == "email", _email(value, drawn)).when(kind == "secret", _hex(value, drawn))
                 .when(kind == "ipv4", _ipv4(drawn, attempt)).when(kind == "phone", _phone(value, drawn))
+                .when(kind == "key", _key(value, drawn)).when(kind == "password", _alike(value, drawn))
                 .when(kind == "ssn", F.concat(F.lit("9"), _alike(value.substr(F.lit(2), F.length(value)), drawn)))
                 .when(kind == "card", _card(value, drawn)).otherwise(_word(value, kind, drawn, attempt)))
 
@@ -266,74 +308,124 @@ def assign(values: DataFrame, key: str) -> DataFrame:
 
 
 def _gender(title: Column) -> Column:
-    return F.when(title.isin(ADDRESS["m"]), "m").when(title.isin(ADDRESS["f"]), "f").otherwise("n")
+    plain = F.lower(F.regexp_replace(title, r"\.$", ""))
+    return F.when(plain.isin([t.lower() for t in ADDRESS["m"]]), "m") \
+        .when(plain.isin([t.lower() for t in ADDRESS["f"]]), "f").otherwise("n")
+
+
+def _cased(value: Column, surrogate: Column) -> Column:
+    """A name's surrogate in capitals if the name is, else with one capital."""
+    return F.when((F.length(value) > 1) & (value == F.upper(value)), F.upper(surrogate)).otherwise(F.initcap(surrogate))
+
 
+def _name_words(people: DataFrame) -> DataFrame:
+    """key, pos, place, value, name (folded), last and gender of every word of the names in matches (key, pos, match)."""
+    tokens = people.select("key", "pos", F.split("match", r"\s+").alias("tokens"))
+    return tokens.select("key", "pos", _gender(F.col("tokens")[0]).alias("gender"), F.size("tokens").alias("size"),
+                         F.posexplode(F.slice("tokens", 2, F.size("tokens"))).alias("place", "value")) \
+        .select("key", "pos", "place", "value", F.lower("value").alias("name"), "gender", (F.col("size") > 2).alias("full"),
+                (F.col("place") == F.col("size") - 2).alias("last"))
 
-def _name_words(value: Column) -> Column:
-    """A person match as an array of (kind, value) of its words; the last of several is the surname."""
-    words = F.split(value, " ")
-    gender = _gender(F.regexp_replace(words[0], r"\.$", ""))
-    last = F.size(words) - 1
-    return F.transform(F.slice(words, 2, last), lambda w, i: F.struct(
-        F.when(i == last - 1, F.lit("surname")).otherwise(F.concat(F.lit("given_"), gender)).alias("kind"), w.alias("value")))
 
+def _meanings(words: DataFrame) -> DataFrame:
+    """One kind per text and name: surname, or given_<gender> with the gender that some title of the text shows."""
+    given = ~(F.col("full") & F.col("last"))
 
-def surrogates(found: DataFrame, key: str) -> DataFrame:
-    """(match, surrogate, times, words): for each distinct match (column `match`) its replacement, the entities in it,
-    and for a person the pairs (value, surrogate) of the name's words."""
+    def shown(gender: str) -> Column:
+        return F.bool_or(given & (F.col("gender") == gender))
+
+    return words.groupBy("key", "name").agg(
+        F.bool_or(F.col("full") & F.col("last")).alias("surname"), F.bool_or(F.col("full") & ~F.col("last")).alias("given"),
+        shown("m").alias("m"), shown("f").alias("f"),
+    ).select("key", "name", F.when(F.col("surname") | ~F.col("given"), "surname").when(F.col("m") & ~F.col("f"), "given_m")
+             .when(F.col("f") & ~F.col("m"), "given_f").otherwise("given_n").alias("kind"))
+
+
+def surrogates(found: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Of matches (key, pos, match): (key, pos, new) for every entity, what takes its place in the text `key`; and (key, names)
+    for every text with names: (pos, value, surrogate) of each word of its names, where it comes first."""
     matches = staged(found.select("match").distinct().withColumn("kind", kind_of(F.col("match")))
-                     .filter(F.col("kind").isNotNull()), "matches")
-    words = matches.filter("kind = 'person'").select("match", F.posexplode(_name_words(F.col("match")))) \
-        .select("match", "pos", "col.kind", "col.value")
-    cards = matches.filter("kind = 'card'").select("match", "kind", F.explode(cards_in(F.col("match"))).alias("card")) \
-        .select("match", "kind", "card.start", "card.value")
-    plain = matches.filter("kind not in ('person', 'card')").select("kind", F.col("match").alias("value"))
-    parts = words.select("kind", "value").unionByName(cards.select("kind", "value")).distinct()
-    table = staged(assign(plain.unionByName(parts), key), "surrogates")
-    named = words.join(table, ["kind", "value"]).groupBy("match").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "value", "surrogate"))).alias("words"))
-    pairs = F.transform("words", lambda w: F.struct(w["value"].alias("value"), w["surrogate"].alias("surrogate")))
-    people = named.select("match", F.concat_ws(" ", F.substring_index("match", " ", 1), F.col("words.surrogate"))
-                          .alias("surrogate"), pairs.alias("words"))
-    # A card's surrogate is as long as the card, so that the places of the next ones stay.
-    placed = cards.join(table, ["kind", "value"]).groupBy("match").agg(F.collect_list(F.struct("start", "surrogate")).alias("cards"))
-    numbers = placed.select("match", F.aggregate("cards", F.col("match"), lambda t, c: F.overlay(t, c["surrogate"], c["start"]))
-                            .alias("surrogate"), F.size("cards").alias("times"))
-    other = table.filter(~F.col("kind").startswith("given_") & ~F.col("kind").isin("surname", "card")) \
-        .select(F.col("value").alias("match"), "surrogate").unionByName(people, allowMissingColumns=True)
-    return other.withColumn("times", F.lit(1)).unionByName(numbers, allowMissingColumns=True)
-
-
-def _bare(text: Column, words: Column) -> Column:
-    """Replace the name words of a text where they stand alone. No surrogate is an original, so one pass after
-    the other never meets its own output."""
-    return F.aggregate(words, text, lambda t, w: F.regexp_replace(
-        t, F.concat(F.lit(r"(?<![\p{L}\p{M}])\Q"), w["value"], F.lit(r"\E(?![\p{L}\p{M}])")), w["surrogate"]))
+                     .filter(F.col("kind").isNotNull())
+                     .withColumn("value", normal_form(F.col("kind"), F.col("match"))), "matches")
+    people = found.join(matches.filter("kind = 'person'").select("match"), "match")
+    words = staged(_name_words(people), "name_words")
+    meanings = staged(_meanings(words), "meanings")
+    values = matches.filter("kind <> 'person'").select("kind", "value").unionByName(
+        meanings.select("kind", F.col("name").alias("value"))).distinct()
+    table = staged(assign(values, key), "surrogates")
+    # Written, so that a value in very many texts is split over tasks where these rows meet it.
+    plain = staged(matches.join(table, ["kind", "value"]).select(
+        "match", dressed(F.col("kind"), F.col("match"), F.col("surrogate")).alias("new")), "plain")
+    named = staged(meanings.join(table.withColumnRenamed("value", "name"), ["kind", "name"]).drop("kind"), "named")
+    replaced = staged(words.join(named, ["key", "name"]).select(
+        "key", "pos", "place", "value", _cased(F.col("value"), F.col("surrogate")).alias("surrogate")), "replaced_words")
+    names = replaced.groupBy("key", "pos").agg(F.sort_array(F.collect_list(F.struct("place", "surrogate"))).alias("words"))
+    spelt = people.join(names, ["key", "pos"]).select("key", "pos", _respelt(F.col("match"), F.col("words")).alias("new"))
+    first = replaced.groupBy("key", "value").agg(F.min("pos").alias("pos"), F.first("surrogate").alias("surrogate"))
+    listed = first.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "value", "surrogate"))).alias("names"))
+    return found.join(plain, "match").select("key", "pos", "new").unionByName(spelt), listed
+
+
+def _respelt(match: Column, words: Column) -> Column:
+    """A match with its name's words replaced; the title and all white space stay."""
+    tokens = F.regexp_extract_all(match, F.lit(r"\s+|\S+"), 0)
+    return F.array_join(F.transform(tokens, lambda t, i: F.when(
+        (i > 1) & (i % 2 == 0), words[((i - 2) / 2).cast("int")]["surrogate"]).otherwise(t)), "")
+
+
+def _alone(word: Column) -> Column:
+    """Pattern of a word that stands alone."""
+    return F.concat(F.lit(r"(?<![\p{L}\p{M}])\Q"), word, F.lit(r"\E(?![\p{L}\p{M}])"))
+
+
+def _bare(between: Column, names: Column, key: Column) -> Column:
+    """The pieces between a text's matches, where each name word that stands alone after its first mention is replaced.
+
+    The pieces are joined by a mark that no name can match, so that a word takes one pass over what follows it. No
+    surrogate is an original, so one pass after the other never meets its own output."""
+    mark = F.concat(F.lit("\ue000"), key, F.lit("\ue001"))
+
+    def replaced(text: Column, word: Column) -> Column:
+        before = F.call_function("substring_index", text, mark, word["pos"] + 1)
+        after = text.substr(F.length(before) + 1, F.length(text))
+        return F.concat(before, F.regexp_replace(after, _alone(word["value"]), word["surrogate"]))
+
+    return F.split(F.aggregate(names, F.call_function("array_join", between, mark), replaced), mark, -1)
+
+
+def _goes_along(word: Column, text: Column) -> Column:
+    """Whether a bare word of a text may be taken for the name."""
+    common = F.lower(word).isin([w.lower() for w in COMMON_WORDS])
+    return word.rlike(r"\p{L}.*\p{L}") & ~common & ~F.rlike(text, _alone(F.lower(word)))
 
 
 def rewrite(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
-    """`docs` with a struct `row` of its columns, the new `text`, and `n_replaced`, the number of entities replaced."""
+    """`docs` with a struct `row` of its columns, the new `text`, and `n_replaced`, the number of entities replaced.
+
+    Matches are found once, in the texts that pass ``may_hold``; only these texts are shuffled."""
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    has = docs["text"].rlike(PATTERN)
-    some = docs.filter(has).select(row, F.sha2(docs["text"], 256).alias("key"))
-    found = staged(docs.filter(has).groupBy(F.sha2(docs["text"], 256).alias("key"))
-                   .agg(F.first(F.regexp_extract_all(docs["text"], F.lit(PATTERN), 0)).alias("matches"))
-                   .select("key", F.posexplode("matches").alias("pos", "match")), "found")
-    table = staged(surrogates(found, key), "replacements")
-    # One entry per match of one text; numbers that are no cards keep themselves.
-    lists = found.join(table, "match", "left").groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("pos", F.coalesce("surrogate", "match").alias("new"), "words",
-                                             F.coalesce("times", F.lit(0)).alias("times")))).alias("all"))
-    joined = some.join(lists, "key")
-    between = F.split(F.col("row.text"), PATTERN, -1)
-    words = F.array_distinct(F.flatten(F.filter(F.col("all.words"), lambda w: w.isNotNull())))
-    # Initials are replaced in the name alone.
-    words = F.filter(words, lambda w: w["value"].rlike(r"\p{L}.*\p{L}"))
-    left = _let(words, lambda some: F.when(F.size(some) > 0, F.transform(between, lambda t: _bare(t, some)))
-                .otherwise(between))
+    may = F.coalesce(may_hold(docs["text"]), F.lit(False))
+    some = docs.filter(may).select(row, F.sha2(docs["text"], 256).alias("key"))
+    found = staged(
+        docs.filter(may).select(F.sha2(docs["text"], 256).alias("key"),
+                                F.regexp_extract_all(docs["text"], F.lit(PATTERN), 0).alias("matches"))
+        .filter(F.size("matches") > 0).groupBy("key").agg(F.first("matches").alias("matches"))
+        .select("key", F.posexplode("matches").alias("pos", "match")), "found")
+    entities, people = surrogates(found, key)
+    # One entry per match of one text, in order; what is no entity after all keeps itself.
+    entry = F.struct("pos", F.coalesce("new", "match").alias("new"), F.col("new").isNotNull().alias("is_entity"))
+    lists = staged(found.join(entities, ["key", "pos"], "left").groupBy("key").agg(
+        F.sort_array(F.collect_list(entry)).alias("all")).filter(F.exists("all", lambda e: e["is_entity"]))
+        .join(people, "key", "left"), "lists")
+    joined = some.join(lists, "key", "left").withColumn("old", F.col("row.text"))
+    between = F.split(F.col("old"), PATTERN, -1)
+    names = F.filter("names", lambda w: _goes_along(w["value"], F.col("old")))
+    left = _let(names, lambda some: F.when(F.size(some) > 0, _bare(between, some, F.col("key"))).otherwise(between))
     text = F.array_join(F.zip_with(left, F.col("all.new"), lambda t, n: F.concat(t, F.coalesce(n, F.lit("")))), "")
-    changed = joined.select("row", text.alias("text"), F.aggregate("all", F.lit(0).cast("long"), lambda n, a: n + a["times"]).alias("n_replaced"))
-    same = docs.filter(~F.coalesce(has, F.lit(False))).select(row, docs["text"].alias("text"), F.lit(0).cast("long").alias("n_replaced"))
+    counted = F.size(F.filter("all", lambda e: e["is_entity"])).cast("long")
+    changed = joined.select("row", F.when(F.col("all").isNull(), F.col("old")).otherwise(text).alias("text"),
+                            F.when(F.col("all").isNull(), F.lit(0)).otherwise(counted).cast("long").alias("n_replaced"))
+    same = docs.filter(~may).select(row, docs["text"].alias("text"), F.lit(0).cast("long").alias("n_replaced"))
     return same.unionByName(changed)
 
 
