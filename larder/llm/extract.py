@@ -105,6 +105,12 @@ def decoded(text: str) -> str:
     return html.unescape(_LONG_NUMBER.sub("�", text))
 
 
+def attributes_at(page: str, place: int) -> list[tuple[str, str]]:
+    """Names in small letters and values of the attributes of the start tag whose name begins at a place."""
+    m = _TAG.match(page, place)
+    return [(a[1].lower(), decoded(a[2] or a[3] or a[4] or "")) for a in _ATTRIBUTE.finditer(m[3])] if m else []
+
+
 def _marks(attributes: str) -> tuple[set[str], str, bool, bool]:
     """Words of class and id, the role, whether it is hidden, and whether it declares the article's body."""
     names: set[str] = set()

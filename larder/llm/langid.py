@@ -4,18 +4,18 @@ Four pieces are combined per page: the likelihood of its visible text under byte
 documents (tempered: long texts count as at most TEXT_WEIGHT trigrams), the language its markup declares, the
 last label of its host, and a prior of its host. How far declarations and suffixes can be trusted, and the
 priors, are learned from the pages themselves by grouped sums of the text posteriors; the host's prior is
-smoothed by its domain's, and that by the prior over all pages; a page's own share is left out of its host's
-and domain's sums. No group is gathered: every sum is combined before it is shuffled.
+smoothed by its domain's, and that by the prior over all pages; a page's own share is left out of all these
+sums. No group is gathered: every sum is combined before it is shuffled.
 
 Results for odd input: null or empty markup has no text evidence and no declaration; a null URL or one
 without `://` has an empty host; a null id is carried; repeated rows are judged alike; an empty table of
 pages gives an empty result; labelled documents without language are not trained on, and without any the
-languages are null; other columns are ignored.
+languages are null; pages are scanned whole, in time that grows with their length whatever their markup; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.llm.common import column_of, map_texts, text_slices, texts
+from larder.llm.extract import attributes_at, blocks_of
 from larder.sources.tables import staged
 
 BUCKETS = 1 << 14
@@ -36,20 +37,23 @@ HOST_STRENGTH = 5.0
 DOMAIN_STRENGTH = 20.0
 TABLE_STRENGTH = 1.0
 
-_HIDDEN = re.compile(r"(?is)<(script|style|nav|footer|header|aside|noscript)\b.*?</\1\s*>|<div class=\"ad\">.*?</div>|<!--.*?-->")
-_TAG = re.compile(r"(?s)<[^>]*>")
-_DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+_DOCUMENT = re.compile(r"<(?=html[\s/>])", re.IGNORECASE)
+_PRIMARY = re.compile(r"\s*([a-zA-Z]{2,3})(?![a-zA-Z0-9])")
 
 
 def visible_text(markup: str) -> str:
-    """Text outside tags, scripts, styles, navigation and frames."""
-    return html.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", markup)))
+    """Text of the page's blocks outside its frame, found in one scan."""
+    return "\n".join([block.text for block in blocks_of(markup)])
 
 
 def declared_language(markup: str) -> str:
     """Primary subtag of the document element's `lang`; empty if there is none."""
-    found = _DECLARED.search(markup)
-    return found.group(1).lower() if found else ""
+    begins = _DOCUMENT.search(markup)
+    for name, value in attributes_at(markup, begins.end()) if begins else ():
+        if name == "lang":
+            found = _PRIMARY.match(value)
+            return found[1].lower() if found else ""
+    return ""
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -145,11 +149,12 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         joined = joined.join(sums, group)
 
     def evidence(name: str, group: str) -> Column:
-        """Log of the chance of the page's suffix or declaration in each language."""
-        return F.zip_with(name, totals, lambda here, all_of: F.ln((here + TABLE_STRENGTH / kinds[group]) / (all_of + TABLE_STRENGTH)))
+        """Log of the chance of the page's suffix or declaration in each language, as the other pages have them."""
+        return F.zip_with(others(name), others(totals), lambda here, all_of: F.ln(
+            (here + TABLE_STRENGTH / kinds[group]) / (all_of + TABLE_STRENGTH)))
 
-    def others(name: str) -> Column:
-        return F.zip_with(name, "posterior", lambda here, own: F.greatest(here - own, F.lit(0.0)))
+    def others(sums: str | Column) -> Column:
+        return F.zip_with(sums, "posterior", lambda here, own: F.greatest(here - own, F.lit(0.0)))
 
     def smoothed(sums: Column, wider: Column, strength: float) -> Column:
         size = _total(sums)

@@ -89,10 +89,17 @@ def planes_of(values: np.ndarray) -> np.ndarray:
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
+def check_radius(radius: int) -> None:
+    """The counters have two bits: a radius beyond 3 is refused."""
+    if not 0 <= radius <= 3:
+        raise ValueError(f"fingerprints are compared within 0 to 3 bits, not {radius}")
+
+
 def _count(differing: Iterator[np.ndarray], shape: tuple[int, ...], radius: int) -> np.ndarray:
     """Words whose set lanes differ in at most `radius` (up to 3) of the planes.
 
     Carry-save: `ones` and `twos` are the two low bits of every lane's count, `over` marks lanes beyond."""
+    check_radius(radius)
     ones, twos, over = (np.zeros(shape, np.uint64) for _ in range(3))
     for at, plane in enumerate(differing):
         carry = ones & plane
@@ -180,6 +187,7 @@ def keys(value: Column, radius: int) -> Column:
 
 def links(distinct: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect exactly what links of at most `radius` bits do."""
+    check_radius(radius)
     filed = distinct.select("fingerprint", F.explode(keys(F.col("fingerprint"), radius)).alias("key"))
     hot = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE) \
         .select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
@@ -241,7 +249,9 @@ def _edges(rows: np.ndarray, radius: int) -> pa.RecordBatch:
 
 
 def _by_minimum(edges: DataFrame, node: str, other: str) -> DataFrame:
-    return edges.groupBy(F.col(node).alias("n")).agg(F.min(other).alias("m"))
+    """Smallest neighbour of every node. Written: a join of the edges with rows read from files is split at a hot node,
+    one with the aggregate itself is not."""
+    return staged(edges.groupBy(F.col(node).alias("n")).agg(F.min(other).alias("m")), "least")
 
 
 def components(edges: DataFrame) -> DataFrame:

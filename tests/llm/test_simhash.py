@@ -98,3 +98,30 @@ def test_one_row_of_every_component_stays_without_or_with_shared_ids(spark):
     assert kept([*want, near, (None, clean[2])]) == sorted(want, key=repr)
     assert kept([want[0], want[1], near]) == sorted(want[:2], key=repr)
     assert kept([(None, None), (None, None)]) == [(None, None)]
+
+
+def test_a_radius_beyond_three_is_refused(spark):
+    with pytest.raises(ValueError, match="0 to 3"):
+        simhash.near_pairs(np.zeros(3, np.uint64), 4)
+    with pytest.raises(ValueError, match="0 to 3"):
+        simhash.groups(spark.createDataFrame([(1, "a")], "doc_id long, text string"), radius=4)
+
+
+def test_a_hot_node_is_split(spark):
+    """A star of many links: the rows of its centre are spread over tasks where they meet its smallest neighbour."""
+    star = simhash.staged(spark.range(1, 4001).selectExpr("0L AS a", "id AS b"), "star")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        least = simhash._by_minimum(star, "a", "b")
+        met = star.join(least, star["a"] == least["n"])
+        met.collect()
+        assert "skew=true" in met._jdf.queryExecution().executedPlan().toString()
+        assert {r.root for r in simhash.components(star).collect()} == {0}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
