@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import bpe, exact_dedup, line_quality, packing, pii, simhash
-from larder.sources.tables import staged
+from larder.sources.tables import staged, staged_alone
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -49,8 +49,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; what lies between two stages is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The last stage's rows; what lies between two stages is written and read again, and deleted at the end."""
+
+    def rows() -> DataFrame:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, stage in STAGES[:-1]:
+            docs = staged(stage(spark, docs, sf_dir), name)
+        return STAGES[-1][1](spark, docs, sf_dir)
+
+    return staged_alone(rows, STAGES[-1][0])
