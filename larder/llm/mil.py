@@ -3,8 +3,9 @@
 Every text is cut into passages of PASSAGE_WORDS words, each encoded by the shares of its character classes
 and class pairs, its word length, stutter and variety. A hidden layer, gated attention and a logistic output
 are trained together from the documents' labels alone; a document's score weighs all its passages by attention.
-Training takes at most `rows` labelled documents (those with the smallest hash of their id), and of each at
-most TRAIN_PASSAGES evenly spread passages; scoring takes every passage of every whole text.
+Training takes at most `rows` labelled documents (those with the smallest hash of their id) and all their passages: of a
+text of more than TRAIN_GROUPS passages, neighbouring ones are averaged into that many groups, which bounds what
+comes to the driver and leaves no passage out. Scoring takes every passage of every whole text by itself.
 
 Results for odd input: a null or empty text has no passage and gets the score of an empty bag (the output's bias);
 null ids are scored and are never trained on, nor are null labels; repeated rows get equal scores; without labels the score
@@ -25,7 +26,7 @@ from larder.llm.common import column_of, fold_of, map_texts, text_slices, texts
 
 PASSAGE_WORDS = 32
 TRAIN_ROWS = 3000
-TRAIN_PASSAGES = 32
+TRAIN_GROUPS = 256
 HIDDEN = 16
 ATTENTION = 8
 EPOCHS = 15
@@ -166,6 +167,14 @@ class GatedAttention:
         return scores
 
 
+def grouped(x: np.ndarray, most: int = TRAIN_GROUPS) -> np.ndarray:
+    """The passages of a text, or the means of `most` groups of neighbouring ones if they are more."""
+    if len(x) <= most:
+        return x
+    starts = np.arange(most) * len(x) // most
+    return (np.add.reduceat(x, starts) / np.diff(np.r_[starts, len(x)])[:, None]).astype(np.float32)
+
+
 def training_bags(docs: DataFrame, labels: DataFrame, label: str, rows: int, folds: int, held_out: int) -> DataFrame:
     """label and features (the passages' numbers, one passage after the other) of at most `rows` documents
     outside the held-out fold."""
@@ -181,8 +190,7 @@ def training_bags(docs: DataFrame, labels: DataFrame, label: str, rows: int, fol
             x, counts = encode(texts(batch))
             found = []
             for start, count in zip(np.cumsum(counts) - counts, counts):
-                few = min(int(count), TRAIN_PASSAGES)
-                found.append(x[start + np.arange(few) * count // max(few, 1)].tobytes())
+                found.append(grouped(x[start:start + count]).tobytes())
             yield pa.RecordBatch.from_arrays([column_of(batch, "label"), pa.array(found, pa.binary())], names=schema.names)
 
     return picked.mapInArrow(run, schema)

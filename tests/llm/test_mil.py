@@ -1,6 +1,7 @@
 """The attention classifier: gradients, held-out accuracy, odd texts."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import mil, queries
@@ -70,3 +71,41 @@ def test_odd_rows(spark):
     assert len({r["score"] for r in rows if r["doc_id"] == 3}) == 1
     assert {r["score"] for r in mil.score(docs, mil.train(docs, labels.limit(0))).collect()} == {0.5}
     assert mil.score(docs.limit(0), model).collect() == []
+
+
+def test_no_passage_is_left_out_of_training(spark):
+    x = np.arange(1000, dtype=np.float32).reshape(500, 2)
+    few = mil.grouped(x, 7)
+    sizes = np.diff(np.r_[np.arange(7) * 500 // 7, 500])
+    assert few.shape == (7, 2) and np.allclose((few * sizes[:, None]).sum(axis=0), x.sum(axis=0))
+    assert mil.grouped(x[:7], 7) is not None and (mil.grouped(x[:7], 7) == x[:7]).all() and len(mil.grouped(x[:0], 7)) == 0
+    # One bad passage among very many good ones changes the bag.
+    good = "These are plain words of a text that goes on. " * 4000
+    texts = [good, good[:90_000] + " ### !!! 12$ " * 20 + good[90_000:]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    bags = mil.training_bags(docs, labels, "quality", 10, 1000, 999).collect()
+    assert len(bags) == 2 and bytes(bags[0]["features"]) != bytes(bags[1]["features"])
+    assert {len(b["features"]) for b in bags} == {mil.TRAIN_GROUPS * mil.FEATURES * 4}
+
+
+def brute_score(model, text):
+    """The score of one text, passage by passage in plain loops."""
+    x, counts = mil.encode([text])
+    energies, hidden = [], []
+    for passage in x:
+        h = np.tanh((passage - model.mean) / model.scale @ model.hidden + model.hidden_bias)
+        energies.append(sum(model.attention[k] * np.tanh(h @ model.value[:, k]) / (1 + np.exp(-h @ model.gate[:, k]))
+                            for k in range(mil.ATTENTION)))
+        hidden.append(h)
+    weights = np.exp(np.array(energies) - max(energies)) if energies else np.zeros(0)
+    pooled = sum((w / weights.sum() * h for w, h in zip(weights, hidden)), np.zeros(mil.HIDDEN))
+    return 1 / (1 + np.exp(-(pooled @ model.output + model.bias[0])))
+
+
+def test_scores_match_plain_loops(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = mil.train(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in mil.score(docs, model).collect()}
+    for doc in docs.collect():
+        assert got[doc["doc_id"]] == pytest.approx(brute_score(model, doc["text"] or ""), abs=1e-6)

@@ -1,5 +1,6 @@
 """The pipeline against its stages done by brute force, and as registered."""
 
+import os
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from larder.llm import bpe, line_quality, packing, pii
+from larder.sources.tables import shared_folder
 from test_bpe_and_packing import check_packing
 from test_simhash import brute_components, brute_fingerprint
 
@@ -49,6 +51,10 @@ def test_stages_equal_brute_force(spark, tmp_path):
 
 def test_run_is_registered(spark):
     assert entry.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
     rows = corpus_pipeline.run(spark, SMALL).collect()
+    # Only the result itself is left of what the stages have written.
+    assert [name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before] == ["packing"]
     assert rows and max(Counter(r["sequence_id"] for r in rows).values()) >= 1
     assert bpe.default_path()

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import compare
 from larder.llm import queries, url_filter
@@ -47,8 +48,13 @@ def test_models_tell_spam_from_others(spark):
     assert {(r["page_id"] % 2, r["verdict"]) for r in got} == {(0, "allow"), (1, "block")}
 
 
-@pytest.mark.parametrize("broadcast", [0, 100_000])
-def test_both_joins_agree(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(url_filter, "BROADCAST_WINDOWS", broadcast)
-    pages = spark.createDataFrame(ODD, "page_id long, url string")
-    assert sorted(r["score"] for r in url_filter.judge(pages).collect())[0] is not None
+def test_both_joins_agree(spark, monkeypatch):
+    rows = ODD + [(100 + i, f"http://{'cheap' if i % 2 else 'garden'}-{i}.{'net' if i % 2 else 'org'}/fr/{i}") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash")).withColumn("rule", F.lit(1))
+    found = []
+    for most in (0, 100_000):
+        monkeypatch.setattr(url_filter, "BROADCAST_WINDOWS", most)
+        result = url_filter.judge(pages)
+        assert result.columns.count("host") == 1
+        found.append(sorted((repr(r["page_id"]), r["host"], r["path"], r["rule"], r["verdict"], round(r["score"], 9)) for r in result.collect()))
+    assert len(found[0]) == len(rows) and found[0] == found[1]
