@@ -33,7 +33,7 @@ from tokenizers import Tokenizer
 from larder.llm.common import ENTRY_BYTES, Remembered, column_of, map_texts, texts
 
 # Bytes of young chunks that a worker remembers; as many of older ones, and as many of pieces.
-REMEMBERED_BYTES = 20 << 20
+REMEMBERED_BYTES = 44 << 20
 REMEMBERED_CHUNKS = 400_000
 MOST_PIECE_BYTES = 80 << 20
 # New chunks encoded together.
