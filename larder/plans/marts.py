@@ -235,7 +235,10 @@ class Marts:
 
     @cached_property
     def buyer_outlet_features(self) -> DataFrame:
-        return clusters.buyer_outlet_features(self.stored("desertion_metrics"), self.raw("categories"), as_of=self.as_of)
+        if "desertion_metrics" in self._stored:
+            return clusters.buyer_outlet_features(
+                self._stored["desertion_metrics"], self.raw("categories"), as_of=self.as_of)
+        return clusters.recent_features(self.stored("daily_buyer"), self.raw("categories"), as_of=self.as_of)
 
     @cached_property
     def cluster_buyer_outlets(self) -> DataFrame:
