@@ -65,3 +65,18 @@ def test_only_the_latest_version_has_to_convert(spark):
         "CAST(NULL AS STRING) AS RECEIVEDORDER")
     got = orders.order_line_stage(raw, spark.createDataFrame([], "demo_id string")).collect()
     assert sorted(str(r.quantity_packing_ordered_item) for r in got) == ["2", "None"]
+
+
+def test_days_of_the_score_are_not_shuffled(spark):
+    m = reports.marts(spark, "/root/testdata/sf0.001")
+    text = m.desertion_metrics._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    known = next(n for n, line in enumerate(lines) if "Generate posexplode" in line)
+    assert not [line for line in lines[:known] if "Exchange hashpartitioning" in line and "median_order" in line]
+    assert "buyer_id" in next(line for line in lines[known:] if "Exchange hashpartitioning" in line)
+
+
+def test_the_buyer_log_comes_in_several_files(spark):
+    from larder.sources.testshape import TestShape
+
+    assert TestShape(spark, "/root/testdata/sf0.001").buyers().rdd.getNumPartitions() == 8
