@@ -80,3 +80,12 @@ def test_the_buyer_log_comes_in_several_files(spark):
     from larder.sources.testshape import TestShape
 
     assert TestShape(spark, "/root/testdata/sf0.001").buyers().rdd.getNumPartitions() == 8
+
+
+def test_baskets_are_not_merged_before_their_texts_are_made(spark):
+    from larder.sources.testshape import TestShape
+
+    shape = TestShape(spark, "/root/testdata/sf0.001")
+    for log in (shape.orders(), shape.documents(), shape.inventory_counts()):
+        placed = [line for line in shuffled(log) if "hashpartitioning(l_orderkey" in line]
+        assert len(placed) == 1 and "REPARTITION_BY_NUM" in placed[0]
