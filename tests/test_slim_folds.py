@@ -89,3 +89,40 @@ def test_baskets_are_not_merged_before_their_texts_are_made(spark):
     for log in (shape.orders(), shape.documents(), shape.inventory_counts()):
         placed = [line for line in shuffled(log) if "hashpartitioning(l_orderkey" in line]
         assert len(placed) == 1 and "REPARTITION_BY_NUM" in placed[0]
+
+
+def feeds(spark, orders_text, documents_text):
+    day = "timestamp_ntz'2000-01-01 09:00:00'"
+    o = spark.sql(f"SELECT buyer_id, outlet_id, {day} + make_dt_interval(day) AS order_created_date, order_id, checkout_id, "
+                  "1 AS quantity_packing_ordered_item, 1.0D AS total_price_ordered_item, 1.0D AS total_price_recieved_item "
+                  f"FROM VALUES {orders_text} t(buyer_id, outlet_id, day, order_id, checkout_id)")
+    d = spark.sql(f"SELECT buyer_id, outlet_id, {day} + make_dt_interval(day) AS create_datetime, document_id, "
+                  f"2 AS total_price_item_document FROM VALUES {documents_text} t(buyer_id, outlet_id, day, document_id)")
+    i = spark.sql(f"SELECT 'B' AS buyer_id, 'x' AS outlet_id, {day} AS create_datetime, 'c' AS inventory_count_id, "
+                  "3 AS inventory_item_total_value FROM range(0)")
+    return o, d, i
+
+
+def test_checkouts_are_counted_per_unit_and_day(spark):
+    o, d, i = feeds(
+        spark, "('B', 'x', 0, 'o1', 'k'), ('B', 'x', 0, 'o2', 'k'), ('B', 'x', 0, 'o3', 'l'), ('B', 'x', 0, 'o4', NULL), "
+        "('B', 'x', 1, 'o5', 'k'), ('B', 'y', 0, 'o6', 'k'), ('B', 'y', 3, 'o7', NULL), ('B', NULL, NULL, 'o8', 'k'), "
+        "('B', NULL, NULL, 'o9', 'k')", "('B', 'x', 2, 'd1'), ('B', 'x', 4, 'd2'), ('B', NULL, NULL, 'd3')")
+    rows = daily.daily_activity(o, d, i, dt.date(2000, 1, 4)).collect()
+    got = sorted(((r.outlet_id or "", str(r.create_datetime)[-2:], r.ordered_quantity, r.checkout_quantity, r.document_quantity)
+                  for r in rows), key=str)
+    assert got == sorted([
+        ("x", "01", 4, 2, None), ("x", "02", 1, 1, None), ("x", "03", None, None, 1), ("x", "05", None, None, 1),
+        ("y", "01", 1, 1, None), ("y", "03", None, None, None), ("y", "04", 1, 0, None),
+        ("", "ne", 2, 1, None), ("", "ne", None, None, 1), ("", "03", None, None, None)], key=str)
+
+
+def test_days_are_added_up_by_one_sort_and_one_grouping(spark):
+    o, d, i = feeds(spark, "('B', 'x', 0, 'o1', 'k')", "('B', 'x', 0, 'd1')")
+    plan = daily.daily_activity(o, d, i, dt.date(2000, 1, 4))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    placed = next(n for n, line in enumerate(lines) if "Exchange hashpartitioning(buyer_id" in line and "order_id" not in line)
+    behind = lines[:placed]
+    assert "REPARTITION_BY_NUM" in lines[placed] and ", outlet_id" not in lines[placed]
+    # Each grouping holds a partial and a final table of the task's days in memory.
+    assert [sum(name in line for line in behind) for name in ("HashAggregate", "Sort [", "Window [")] == [2, 1, 1]
