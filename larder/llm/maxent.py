@@ -23,11 +23,11 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +52,8 @@ ROUNDS = 2
 FAN_IN = 32
 RATE = 0.3
 STEP_TOKENS = 16_384
+# Rows of weights changed at once: their numbers stay in a core's cache.
+STEP_ROWS = 512
 LEVELS = 64
 COUNTED_AT_ONCE = 200_000
 LN10 = math.log(10)
@@ -69,6 +71,20 @@ def shape_class(word: bytes) -> int:
     return 2 * ending + foreign + (10 if ending == 0 and len(word) > 7 else 0)
 
 
+# What `shape_class` sees in a word's last byte.
+ENDINGS = np.array([shape_class(b"a" + bytes([b])) // 2 for b in range(256)])
+
+
+def shape_classes(words: pa.BinaryArray) -> np.ndarray:
+    """`shape_class` of each of the words, none of which is empty."""
+    ends = np.cumsum(pc.binary_length(words).to_numpy())
+    data = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
+    beyond = np.r_[0, np.cumsum(data >= 0x80)]
+    starts = np.r_[0, ends[:-1]] if len(ends) else ends
+    ending = ENDINGS[data[ends - 1]]
+    return 2 * ending + (beyond[ends] > beyond[starts]) + np.where((ending == 0) & (ends - starts > 7), 10, 0)
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, c) of all whole texts; the end of a text is the empty word."""
     schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("c", T.LongType())])
@@ -105,7 +121,7 @@ class Model:
         counts = dict(head)
         self.counts = np.array([counts.get(w, 0) for w in self.words], float)
         self.n, self.v = n, v
-        self.rank = {w: i for i, w in enumerate(self.words)}
+        self.head = pa.array(self.words, pa.binary())
         units = np.zeros(UNIT_CLASSES * UNITS)
         units[:len(self.counts[:len(units)])] = self.counts[:len(units)]
         # Places beyond the vocabulary must not draw any probability.
@@ -141,21 +157,25 @@ class Tokens:
         for words in lists:
             flat += words
             flat.append(END)
-        self.rank = np.fromiter(map(model.rank.get, flat, repeat(-1)), np.int64, len(flat))
-        # Words beyond the head, each looked at once.
+        # Each distinct token is looked at once.
+        coded = pa.array(flat, pa.binary()).dictionary_encode()
+        codes, kinds = coded.indices.to_numpy(), coded.dictionary
+        ranks = pc.index_in(kinds, value_set=model.head).fill_null(-1).to_numpy().astype(np.int64)
+        classes, hashes = model.classes_of[ranks], model.hashes[ranks]
+        self.rank = ranks[codes]
+        # Words beyond the head.
+        rare = ranks < 0
+        rare_kinds = kinds.filter(pa.array(rare))
+        self.rare_words = rare_kinds.to_pylist()
         self.rare_at = np.flatnonzero(self.rank < 0)
-        rare = [flat[i] for i in self.rare_at.tolist()]
-        self.rare_words = list(dict.fromkeys(rare))
-        index = dict(zip(self.rare_words, range(len(self.rare_words))))
-        self.rare_ids = np.fromiter(map(index.__getitem__, rare), np.int64, len(rare))
-        shapes = np.fromiter(map(shape_class, self.rare_words), np.int64, len(index)) + UNIT_CLASSES
-        hashes = np.fromiter(map(zlib.crc32, self.rare_words), np.uint64, len(index))
+        self.rare_ids = (np.cumsum(rare) - 1)[codes[self.rare_at]]
+        classes[rare] = shape_classes(rare_kinds) + UNIT_CLASSES
+        hashes[rare] = np.fromiter(map(zlib.crc32, self.rare_words), np.uint64, len(self.rare_words))
         lengths = np.array([len(words) + 1 for words in lists], np.int64)
         self.owner = np.repeat(np.arange(len(lists)), lengths)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         self.unit = (self.rank >= 0) & (self.rank < UNIT_CLASSES * UNITS)
-        self.classes, word = model.classes_of[self.rank], model.hashes[self.rank]
-        self.classes[self.rare_at], word[self.rare_at] = shapes[self.rare_ids], hashes[self.rare_ids]
+        self.classes, word = classes[codes], hashes[codes]
 
         def back(gap: int) -> np.ndarray:
             moved = np.full(len(word), 0x51ED27, np.uint64)
@@ -175,32 +195,47 @@ class Tokens:
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
+    """Of each row; the logits are overwritten."""
     logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
 
 
 def _logits(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
-    total = bias + rows[features[0]]
+    total = rows.take(features[0], axis=0)
+    total += bias
     for feature in features[1:]:
-        total += rows[feature]
+        total += rows.take(feature, axis=0)
     return total
 
 
+def _sums(numbers: np.ndarray, n: int, weights: np.ndarray) -> np.ndarray:
+    """The rows of `weights` (floats of eight bytes) added up by their numbers below `n`, in one pass over all columns."""
+    columns = weights.shape[1]
+    cells = (numbers * columns)[:, None] + np.arange(columns)
+    return np.bincount(cells.ravel(), weights=weights.ravel(), minlength=n * columns).reshape(n, columns)
+
+
 def _step(rows: np.ndarray, squares: np.ndarray, met: np.ndarray, features: list[np.ndarray], error: np.ndarray) -> None:
     """One Adagrad step for the rows of each feature, which lie in a range of their own."""
-    by_output = np.ascontiguousarray(error.T, dtype=np.float64)
+    error = error.astype(np.float64)
     for feature in features:
         low = int(feature.min())
         place = feature - low
         times = np.bincount(place)
         which = np.flatnonzero(times)
-        gradient = np.stack([np.bincount(place, weights=e)[which] for e in by_output], axis=1)
+        gradient = _sums((np.cumsum(times > 0) - 1)[place], len(which), error)
         # Between sum and mean over the tokens that met the feature, so that common ones do not jump.
         gradient /= np.sqrt(times[which])[:, None]
-        at = which + low
-        squares[at] += gradient**2
-        rows[at] -= RATE * gradient / np.sqrt(squares[at] + 1.0)
-        met[at] += times[which]
+        met[which + low] += times[which]
+        for start in range(0, len(which), STEP_ROWS):
+            at, some = which[start:start + STEP_ROWS] + low, gradient[start:start + STEP_ROWS]
+            square = (squares.take(at, axis=0) + some * some).astype(np.float32)
+            squares[at] = square
+            square += 1
+            some *= RATE
+            some /= np.sqrt(square, out=square)
+            rows[at] = rows.take(at, axis=0) - some
 
 
 def train_on(model: Model, flat: np.ndarray, squares: np.ndarray, met: tuple[np.ndarray, np.ndarray], tokens: Tokens) -> None:
@@ -210,13 +245,15 @@ def train_on(model: Model, flat: np.ndarray, squares: np.ndarray, met: tuple[np.
     for start in range(0, len(tokens.rank), STEP_TOKENS):
         part = slice(start, start + STEP_TOKENS)
         features = [f[part] for f in tokens.features]
-        error = np.exp(_log_softmax(_logits(model.class_bias, rows, features)))
+        error = _log_softmax(_logits(model.class_bias, rows, features))
+        np.exp(error, out=error)
         error[np.arange(len(error)), tokens.classes[part]] -= 1
         _step(rows, row_squares, met[0], features, error)
         at = start + np.flatnonzero(tokens.unit[part])
         if len(at):
             features = [f[at] for f in tokens.unit_features]
-            error = np.exp(_log_softmax(_logits(model.unit_bias[tokens.classes[at]], unit_rows, features)))
+            error = _log_softmax(_logits(model.unit_bias[tokens.classes[at]], unit_rows, features))
+            np.exp(error, out=error)
             error[np.arange(len(at)), tokens.rank[at] % UNITS] -= 1
             _step(unit_rows, unit_squares, met[1], features, error)
 

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +112,38 @@ def test_three_words_of_context_and_960_units():
     assert abs(chance("w1", "w2", "w3", "w5") - chance("w9", "w2", "w3", "w5")) > 1e-3
     within = [chance(a, b, "w950") - chance(a, b, "w951") for a, b in (("w2", "w3"), ("w2", "w9"), ("w9", "w3"))]
     assert abs(within[0] - within[1]) > 1e-3 and abs(within[0] - within[2]) > 1e-3
+
+
+def test_shape_classes_are_those_of_single_words():
+    words = [bytes([b]) for b in range(1, 256)] + [b"abcdefg" + bytes([b]) for b in range(256)] + ["é,".encode(), "abcdefgé".encode(), b"a" * 7, b"a" * 8]
+    assert maxent.shape_classes(pa.array(words, pa.binary())).tolist() == [maxent.shape_class(w) for w in words]
+    assert maxent.shape_classes(pa.array([], pa.binary())).tolist() == []
+
+
+def test_tokens_looks_at_distinct_words_at_once(monkeypatch):
+    model = maxent.Model([(b"", 2), (b"a", 3)], np.zeros(maxent.SHAPE_CLASSES), np.zeros(maxent.SHAPE_CLASSES), 5, 2)
+    shapes = {w: maxent.shape_class(w) + maxent.UNIT_CLASSES for w in (b"new.", b"other")}
+    monkeypatch.setattr(maxent, "shape_class", None)
+    tokens = maxent.Tokens(model, [[b"new.", b"a", b"new."], [], [b"other"]])
+    assert tokens.rank.tolist() == [-1, 1, -1, 0, 0, -1, 0]
+    assert (tokens.rare_words, tokens.rare_at.tolist(), tokens.rare_ids.tolist()) == ([b"new.", b"other"], [0, 2, 5], [0, 0, 1])
+    assert tokens.classes[[0, 2, 5]].tolist() == [shapes[b"new."], shapes[b"new."], shapes[b"other"]]
+    assert tokens.owner.tolist() == [0, 0, 0, 0, 1, 2, 2]
+
+
+def test_a_step_equals_plain_loops():
+    random = np.random.default_rng(3)
+    features = [random.integers(0, 40, 500), 2000 + random.integers(0, 1500, 500)]
+    error = random.normal(size=(500, 4)).astype(np.float32)
+    rows, squares = random.normal(size=(3500, 4)).astype(np.float32), random.random((3500, 4)).astype(np.float32)
+    met, want, want_squares, want_met = np.zeros(3500), rows.copy(), squares.copy(), np.zeros(3500)
+    for feature in features:
+        for row in np.unique(feature):
+            times = (feature == row).sum()
+            gradient = error[feature == row].astype(float).sum(axis=0) / math.sqrt(times)
+            want_squares[row] += gradient**2
+            want[row] -= maxent.RATE * gradient / np.sqrt(want_squares[row] + 1.0)
+            want_met[row] += times
+    maxent._step(rows, squares, met, features, error)
+    assert np.allclose(rows, want, atol=1e-6) and np.allclose(squares, want_squares, rtol=1e-5)
+    assert met.tolist() == want_met.tolist()
