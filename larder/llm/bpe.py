@@ -218,6 +218,12 @@ class WordBpe:
         """Ids of each text as little-endian 32-bit integers."""
         return self._known.encode(texts, self._learn)
 
+    def forget(self) -> None:
+        """Drop the remembered chunks and pieces; the vocabulary stays."""
+        self._known.forget()
+        self._known_pieces.clear()
+        self._piece_bytes = 0
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> WordBpe:

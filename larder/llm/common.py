@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,10 +23,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+# The encoder that remembers most, in whose tasks alone this worker's memory may hold its chunks.
+_remembering: list["Remembering"] = []
+
+
+class Remembering(Protocol):
+    def forget(self) -> None:
+        """Drop what was remembered; this only costs time."""
+
+
+def remember_only(encoder: Remembering | None) -> None:
+    """Let `encoder` remember from one task to the next, until a task of another operator begins in this worker."""
+    for other in _remembering:
+        if other is not encoder:
+            other.forget()
+    _remembering[:] = [] if encoder is None else [encoder]
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
+                encoder: Remembering | None = None) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds at most SLICE_ROWS rows and about SLICE_BYTES of `column`.
 
-    A single longer text makes a slice of its own."""
+    A single longer text makes a slice of its own. A worker outlives a stage: what others than `encoder` remember would
+    stand beside this task's memory."""
+    remember_only(encoder)
     for batch in batches:
         lengths = batch.column(batch.schema.get_field_index(column)).fill_null("")
         sizes = pc.binary_length(lengths).to_pylist()
@@ -76,6 +97,11 @@ class Remembered(dict):
         self.limit, self.case_mark, self.older, self.unknown = limit, case_mark, {}, set()
         self.most_bytes, self.held = most_bytes, 0
 
+    def forget(self) -> None:
+        """Drop all remembered chunks."""
+        self.clear()
+        self.older, self.held = {}, 0
+
     def _chunks(self, text: str) -> list[bytes]:
         data = text.encode()
         return data.split() if self.case_mark is None or self.case_mark in data else data.lower().split()

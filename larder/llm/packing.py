@@ -38,7 +38,7 @@ SMALL_PARTS = 3
 # Groups of equal cardinality among the large lengths.
 GROUPS = 300
 MAX_PIVOTS = 2000
-# Young chunks whose ids a worker remembers.
+# Young chunks whose ids a worker remembers while it packs.
 REMEMBERED_CHUNKS = 700_000
 REMEMBERED_BYTES = 160 << 20
 
@@ -58,7 +58,7 @@ class LibraryIds(WordBpe):
 
 @lru_cache(maxsize=4)
 def library_ids(path: str) -> LibraryIds:
-    """One per worker and vocabulary."""
+    """One per worker and vocabulary; what it remembers goes when other work begins."""
     return LibraryIds(path)
 
 
@@ -73,12 +73,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = library_ids(path)
         met: dict[int, int] = defaultdict(int)
         end = END_ID.to_bytes(4, "little")
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, encoder=encoder):
             rows = []
             owners = []
-            for at, encoded in enumerate(library_ids(path).encode(texts(batch))):
+            for at, encoded in enumerate(encoder.encode(texts(batch))):
                 ids = encoded + end
                 view = memoryview(ids)
                 for number, start in enumerate(range(0, len(ids), 4 * capacity)):

@@ -5,13 +5,16 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from larder.llm import bpe, packing, queries
+from larder.llm.common import map_texts, text_slices, texts
 
 SMALL = "/root/testdata/sf0.001"
 PATH = bpe.default_path()
@@ -59,6 +62,29 @@ def test_a_worker_remembers_a_bounded_number_of_bytes():
         assert max(held) <= 100_000 + 500 * (bpe.ENTRY_BYTES + 60) + 8 * start + 1000
 
 
+def test_packing_is_forgotten_when_other_work_begins(spark):
+    docs = spark.range(0, 64, 1, 8).selectExpr("id AS doc_id", "concat('word', id, ' more text') AS text")
+    assert packing.pieces(docs, PATH).count() == 64
+
+    def held(batch):
+        ids = packing.library_ids(PATH)
+        return pa.RecordBatch.from_arrays([pa.array([len(ids._known) + len(ids._known.older) + len(ids._known_pieces)])], ["held"])
+
+    found = map_texts(docs, held, T.StructType([T.StructField("held", T.LongType())])).collect()
+    assert {r["held"] for r in found} == {0}
+
+
+def test_an_encoder_remembers_in_its_own_tasks_alone():
+    mine, other = bpe.WordBpe(PATH), bpe.WordBpe(PATH)
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two", None])], ["text"])
+    for encoder, kept in ((mine, True), (mine, True), (other, False), (None, False)):
+        for part in text_slices(iter([batch]), encoder=encoder):
+            if encoder:
+                encoder.encode(texts(part))
+        assert bool(mine._known) == bool(mine._known_pieces) == kept
+    assert not other._known
+
+
 def brute_digest(doc, text):
     ids = library_ids(text or "")
     decoded = LIBRARY.decode(ids, skip_special_tokens=False)
