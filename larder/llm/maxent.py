@@ -23,6 +23,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import column_of, fold_of, map_texts, text_slices, texts
+from larder.llm.common import column_of, fold_of, map_texts, text_slices
 from larder.sources.tables import staged
 
 # The end of a text; no word is empty.
@@ -54,13 +55,35 @@ RATE = 0.3
 STEP_TOKENS = 16_384
 # Rows of weights changed at once: their numbers stay in a core's cache.
 STEP_ROWS = 512
+# The largest weight, either way, of which CLASS_FEATURES and a bias (up to some 25 either way) are added up in an exponent
+# of e: floats of four bytes reach from e^-87 to e^88.
+LARGEST_WEIGHT = 15
+# Tokens whose logits stay there.
+CACHED_TOKENS = 2048
 LEVELS = 64
 COUNTED_AT_ONCE = 200_000
 LN10 = math.log(10)
 
 
-def split(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+def split(some: pa.StringArray) -> pa.ListArray:
+    """The words of each text, in lower case; a null or blank text has no list."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(some))
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, ""), None, trimmed))
+
+
+def places_of(words: pa.BinaryArray) -> tuple[np.ndarray, pa.Buffer]:
+    """Where each of at least one word begins in the buffer of them all, and where the last ends."""
+    _, places, data = words.buffers()
+    return np.frombuffer(places, np.int32)[words.offset:words.offset + len(words) + 1], data
+
+
+def byte_strings(words: pa.BinaryArray) -> list[bytes]:
+    """The words as Python's, several times faster than one by one through Arrow."""
+    if not len(words):
+        return []
+    places, data = places_of(words)
+    text = data.to_pybytes()
+    return [text[a:b] for a, b in pairwise(places.tolist())]
 
 
 def shape_class(word: bytes) -> int:
@@ -77,12 +100,14 @@ ENDINGS = np.array([shape_class(b"a" + bytes([b])) // 2 for b in range(256)])
 
 def shape_classes(words: pa.BinaryArray) -> np.ndarray:
     """`shape_class` of each of the words, none of which is empty."""
-    ends = np.cumsum(pc.binary_length(words).to_numpy())
-    data = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
-    beyond = np.r_[0, np.cumsum(data >= 0x80)]
-    starts = np.r_[0, ends[:-1]] if len(ends) else ends
+    if not len(words):
+        return np.empty(0, np.int64)
+    places, data = places_of(words)
+    data = np.frombuffer(data, np.uint8)[places[0]:places[-1]]
+    starts, ends = places[:-1] - places[0], places[1:] - places[0]
     ending = ENDINGS[data[ends - 1]]
-    return 2 * ending + (beyond[ends] > beyond[starts]) + np.where((ending == 0) & (ends - starts > 7), 10, 0)
+    foreign = np.maximum.reduceat(data, starts) >= 0x80
+    return 2 * ending + foreign + np.where((ending == 0) & (ends - starts > 7), 10, 0)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -98,8 +123,10 @@ def count_words(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in text_slices(batches):
-            for text in texts(batch):
-                counts.update(split(text))
+            # A slice's distinct words are counted before they become Python's.
+            found = split(column_of(batch, "text")).flatten().value_counts()
+            words, times = found.field("values").cast(pa.binary()), found.field("counts")
+            counts.update(dict(zip(byte_strings(words), times.to_numpy().tolist())))
             counts[END] += batch.num_rows
             if len(counts) > COUNTED_AT_ONCE:
                 yield flush(counts)
@@ -137,12 +164,20 @@ class Model:
         self.hashes = np.fromiter(map(zlib.crc32, self.words), np.uint64, len(ranks))
         self.log_shape_total = np.log(totals + 0.5 * (kinds + 1))
         self.weights = np.zeros(self.sizes()[-1], np.float32)
+        self._raised: tuple[np.ndarray, np.ndarray | None] | None = None
 
     @staticmethod
     def sizes() -> np.ndarray:
         """Where class weights and unit weights begin and end in one flat array."""
         return np.cumsum([0, CLASS_FEATURES * BUCKETS * CLASSES, UNIT_FEATURES * UNIT_CLASSES * UNIT_BUCKETS * UNITS])
 
+    def raised(self) -> np.ndarray | None:
+        """e to the power of the weights; None where products of their rows might leave the range of a float."""
+        if self._raised is None or self._raised[0] is not self.weights:
+            within = np.abs(self.weights).max() <= LARGEST_WEIGHT
+            self._raised = self.weights, np.exp(self.weights) if within else None
+        return self._raised[1]
+
     def views(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The class rows and the unit rows of a flat array."""
         _, middle, end = self.sizes()
@@ -152,28 +187,32 @@ class Model:
 class Tokens:
     """Tokens of several texts one after the other, with what the model needs of each."""
 
-    def __init__(self, model: Model, lists: list[list[bytes]]):
-        flat: list[bytes] = []
-        for words in lists:
-            flat += words
-            flat.append(END)
-        # Each distinct token is looked at once.
-        coded = pa.array(flat, pa.binary()).dictionary_encode()
-        codes, kinds = coded.indices.to_numpy(), coded.dictionary
+    def __init__(self, model: Model, lists: pa.ListArray | list[list[bytes]]):
+        if not isinstance(lists, pa.ListArray):
+            lists = pa.array(lists, pa.list_(pa.binary()))
+        lengths = pc.list_value_length(lists).fill_null(0).to_numpy().astype(np.int64) + 1
+        # Each distinct token is looked at once; the last code is the end's.
+        coded = lists.flatten().dictionary_encode()
+        kinds = coded.dictionary.cast(pa.binary())
         ranks = pc.index_in(kinds, value_set=model.head).fill_null(-1).to_numpy().astype(np.int64)
-        classes, hashes = model.classes_of[ranks], model.hashes[ranks]
-        self.rank = ranks[codes]
         # Words beyond the head.
         rare = ranks < 0
         rare_kinds = kinds.filter(pa.array(rare))
-        self.rare_words = rare_kinds.to_pylist()
+        self.rare_words = byte_strings(rare_kinds)
+        # The end has the first rank.
+        ranks, rare = np.r_[ranks, 0], np.r_[rare, False]
+        codes = np.full(lengths.sum(), len(kinds))
+        inside = np.ones(len(codes), bool)
+        inside[np.cumsum(lengths) - 1] = False
+        codes[inside] = coded.indices.to_numpy()
+        classes, hashes = model.classes_of[ranks], model.hashes[ranks]
+        self.rank = ranks[codes]
         self.rare_at = np.flatnonzero(self.rank < 0)
         self.rare_ids = (np.cumsum(rare) - 1)[codes[self.rare_at]]
         classes[rare] = shape_classes(rare_kinds) + UNIT_CLASSES
         hashes[rare] = np.fromiter(map(zlib.crc32, self.rare_words), np.uint64, len(self.rare_words))
-        lengths = np.array([len(words) + 1 for words in lists], np.int64)
         self.owner = np.repeat(np.arange(len(lists)), lengths)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         self.unit = (self.rank >= 0) & (self.rank < UNIT_CLASSES * UNITS)
         self.classes, word = classes[codes], hashes[codes]
 
@@ -194,31 +233,70 @@ class Tokens:
             for salt, x in enumerate((one, two))]
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    """Of each row; the logits are overwritten."""
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+def _cached(n: int) -> Iterator[slice]:
+    """Parts of `n` tokens, CACHED_TOKENS at a time."""
+    return (slice(start, min(start + CACHED_TOKENS, n)) for start in range(0, n, CACHED_TOKENS))
 
 
 def _logits(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """Less the largest of each row, so that none is above 0."""
     total = rows.take(features[0], axis=0)
     total += bias
     for feature in features[1:]:
         total += rows.take(feature, axis=0)
+    total -= total.max(axis=1, keepdims=True)
     return total
 
 
+def _errors(bias: np.ndarray, kinds: np.ndarray | None, rows: np.ndarray, features: list[np.ndarray],
+            right: np.ndarray) -> np.ndarray:
+    """Probability of each column, less one in the right one; `kinds` are the tokens' rows of the
+    bias, which is one row without them."""
+    errors = np.empty((len(right), rows.shape[1]))
+    for part in _cached(len(right)):
+        chances = _logits(bias if kinds is None else bias[kinds[part]], rows, [f[part] for f in features])
+        np.exp(chances, out=chances)
+        chances /= chances.sum(axis=1, keepdims=True)
+        errors[part] = chances
+    errors[np.arange(len(right)), right] -= 1
+    return errors
+
+
+def _log_chances(bias: np.ndarray, kinds: np.ndarray | None, rows: np.ndarray, features: list[np.ndarray], right: np.ndarray,
+                 raised: bool) -> np.ndarray:
+    """Natural logarithm of the right column's probability. Where bias and rows are `raised`, products of powers of e take
+    the place of sums, and no exponential is left to compute."""
+    chances = np.empty(len(right), rows.dtype)
+    for part in _cached(len(right)):
+        some, at = [f[part] for f in features], right[part]
+        row = np.arange(len(at))
+        if raised:
+            odds = rows.take(some[0], axis=0)
+            odds *= bias if kinds is None else bias[kinds[part]]
+            for feature in some[1:]:
+                odds *= rows.take(feature, axis=0)
+            chances[part] = np.log(odds[row, at]) - np.log(np.einsum("ij->i", odds))
+        else:
+            logits = _logits(bias if kinds is None else bias[kinds[part]], rows, some)
+            chances[part] = logits[row, at] - np.log(np.exp(logits).sum(axis=1))
+    return chances
+
+
 def _sums(numbers: np.ndarray, n: int, weights: np.ndarray) -> np.ndarray:
     """The rows of `weights` (floats of eight bytes) added up by their numbers below `n`, in one pass over all columns."""
-    columns = weights.shape[1]
-    cells = (numbers * columns)[:, None] + np.arange(columns)
-    return np.bincount(cells.ravel(), weights=weights.ravel(), minlength=n * columns).reshape(n, columns)
+    # Two columns at once, as the parts of complex numbers.
+    values = weights.view(np.complex128) if weights.shape[1] % 2 == 0 else weights
+    columns = values.shape[1]
+    sums = np.zeros(n * columns, values.dtype)
+    for part in _cached(len(numbers)):
+        cells = (numbers[part] * columns)[:, None] + np.arange(columns)
+        np.add.at(sums, cells.ravel(), values[part].ravel())
+    return sums.view(np.float64).reshape(n, -1)
 
 
 def _step(rows: np.ndarray, squares: np.ndarray, met: np.ndarray, features: list[np.ndarray], error: np.ndarray) -> None:
     """One Adagrad step for the rows of each feature, which lie in a range of their own."""
-    error = error.astype(np.float64)
+    error = error.astype(np.float64, copy=False)
     for feature in features:
         low = int(feature.min())
         place = feature - low
@@ -226,11 +304,12 @@ def _step(rows: np.ndarray, squares: np.ndarray, met: np.ndarray, features: list
         which = np.flatnonzero(times)
         gradient = _sums((np.cumsum(times > 0) - 1)[place], len(which), error)
         # Between sum and mean over the tokens that met the feature, so that common ones do not jump.
-        gradient /= np.sqrt(times[which])[:, None]
+        gradient = (gradient / np.sqrt(times[which])[:, None]).astype(np.float32)
         met[which + low] += times[which]
         for start in range(0, len(which), STEP_ROWS):
             at, some = which[start:start + STEP_ROWS] + low, gradient[start:start + STEP_ROWS]
-            square = (squares.take(at, axis=0) + some * some).astype(np.float32)
+            square = squares.take(at, axis=0)
+            square += some * some
             squares[at] = square
             square += 1
             some *= RATE
@@ -245,31 +324,25 @@ def train_on(model: Model, flat: np.ndarray, squares: np.ndarray, met: tuple[np.
     for start in range(0, len(tokens.rank), STEP_TOKENS):
         part = slice(start, start + STEP_TOKENS)
         features = [f[part] for f in tokens.features]
-        error = _log_softmax(_logits(model.class_bias, rows, features))
-        np.exp(error, out=error)
-        error[np.arange(len(error)), tokens.classes[part]] -= 1
+        error = _errors(model.class_bias, None, rows, features, tokens.classes[part])
         _step(rows, row_squares, met[0], features, error)
         at = start + np.flatnonzero(tokens.unit[part])
         if len(at):
             features = [f[at] for f in tokens.unit_features]
-            error = _log_softmax(_logits(model.unit_bias[tokens.classes[at]], unit_rows, features))
-            np.exp(error, out=error)
-            error[np.arange(len(at)), tokens.rank[at] % UNITS] -= 1
+            error = _errors(model.unit_bias, tokens.classes[at], unit_rows, features, tokens.rank[at] % UNITS)
             _step(unit_rows, unit_squares, met[1], features, error)
 
 
 def log_probabilities(model: Model, tokens: Tokens) -> np.ndarray:
     """Natural logarithm of each token's probability; for words of shape classes without their own count."""
-    rows, unit_rows = model.views(model.weights)
-    found = np.empty(len(tokens.rank))
-    for start in range(0, len(found), STEP_TOKENS):
-        part = slice(start, start + STEP_TOKENS)
-        chance = _log_softmax(_logits(model.class_bias, rows, [f[part] for f in tokens.features]))
-        found[part] = chance[np.arange(len(chance)), tokens.classes[part]]
-        at = start + np.flatnonzero(tokens.unit[part])
-        if len(at):
-            chance = _log_softmax(_logits(model.unit_bias[tokens.classes[at]], unit_rows, [f[at] for f in tokens.unit_features]))
-            found[at] += chance[np.arange(len(at)), tokens.rank[at] % UNITS]
+    powers = model.raised()
+    raised = powers is not None
+    rows, unit_rows = model.views(powers if raised else model.weights)
+    bias, unit_bias = (np.exp(b) if raised else b for b in (model.class_bias, model.unit_bias))
+    found = _log_chances(bias, None, rows, tokens.features, tokens.classes, raised).astype(np.float64)
+    at = np.flatnonzero(tokens.unit)
+    found[at] += _log_chances(unit_bias, tokens.classes[at], unit_rows, [f[at] for f in tokens.unit_features],
+                              tokens.rank[at] % UNITS, raised)
     other = ~tokens.unit
     found[other] -= model.log_shape_total[tokens.classes[other] - UNIT_CLASSES]
     return found
@@ -298,7 +371,7 @@ def train_round(docs: DataFrame, model: Model) -> np.ndarray:
         task = None
         for batch in text_slices(batches):
             task = column_of(batch, "task")[0].as_py()
-            train_on(base, flat, squares, met, Tokens(base, [split(t) for t in texts(batch)]))
+            train_on(base, flat, squares, met, Tokens(base, split(column_of(batch, "text"))))
         if task is None:
             return
         times = np.concatenate(met).astype(np.float32)
@@ -374,9 +447,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) ->
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = shared.value
-        lists = [split(t) for t in texts(batch)]
-        tokens = Tokens(model, lists)
-        n = len(lists)
+        tokens = Tokens(model, split(column_of(batch, "text")))
+        n = batch.num_rows
         in_head = tokens.rank >= 0
         own = np.where(in_head, np.log10(model.counts[np.maximum(tokens.rank, 0)] + 0.5), 0)
         known = in_head & (model.counts[np.maximum(tokens.rank, 0)] > 0)

@@ -147,3 +147,57 @@ def test_a_step_equals_plain_loops():
     maxent._step(rows, squares, met, features, error)
     assert np.allclose(rows, want, atol=1e-6) and np.allclose(squares, want_squares, rtol=1e-5)
     assert met.tolist() == want_met.tolist()
+
+
+def test_split_keeps_to_ascii_white_space_and_case():
+    some = [None, "", " \t\n\x0b\x0c\r", "One\ttwo  ONE\x0b\x0cÉé\x1fx y z\r", " é ", "a\x00B"]
+    lists = maxent.split(pa.array(some))
+    want = [(t or "").encode().lower().split() for t in some]
+    assert [[w.encode() for w in words or []] for words in lists.to_pylist()] == want
+    model = maxent.Model([(b"", 2), (b"one", 3)], np.zeros(maxent.SHAPE_CLASSES), np.zeros(maxent.SHAPE_CLASSES), 5, 2)
+    mine, plain = maxent.Tokens(model, lists), maxent.Tokens(model, want)
+    assert mine.rare_words == plain.rare_words and mine.rank.tolist() == plain.rank.tolist()
+    assert mine.owner.tolist() == plain.owner.tolist() == np.repeat(np.arange(len(want)), [len(w) + 1 for w in want]).tolist()
+    assert all((a == b).all() for a, b in zip(mine.features + mine.unit_features, plain.features + plain.unit_features))
+
+
+def test_byte_strings_of_slices():
+    words = pa.array([b"one", b"", "é".encode(), b"last"], pa.binary())
+    assert [maxent.byte_strings(words[a:]) for a in range(5)] == [words.to_pylist()[a:] for a in range(5)]
+
+
+@pytest.mark.parametrize("spread", [1, 2.5, 30])
+def test_scores_are_those_of_sums_of_weights_whatever_their_size(spread):
+    words = [(b"", 2000), *((f"w{i}".encode(), 1500 - i) for i in range(1100))]
+    model = maxent.Model(words, np.full(maxent.SHAPE_CLASSES, 9.0), np.full(maxent.SHAPE_CLASSES, 3.0), sum(c for _, c in words), len(words))
+    random = np.random.default_rng(4)
+    model.weights = random.normal(0, spread, len(model.weights)).astype(np.float32)
+    tokens = maxent.Tokens(model, [[f"w{i}".encode() for i in random.integers(0, 1200, 5000)]])
+    got = maxent.log_probabilities(model, tokens)
+    # Products of powers of e where they fit into a float, and never the powers of former weights.
+    assert (model.raised() is not None) == (spread < 4)
+    rows, unit_rows = model.views(model.weights.astype(float))
+
+    def chances(bias, rows, features, right):
+        logits = bias + sum(rows[f] for f in features)
+        top = logits.max(axis=1, keepdims=True)
+        return (logits - top - np.log(np.exp(logits - top).sum(axis=1, keepdims=True)))[np.arange(len(right)), right]
+
+    want = chances(model.class_bias, rows, tokens.features, tokens.classes)
+    at = np.flatnonzero(tokens.unit)
+    want[at] += chances(model.unit_bias[tokens.classes[at]], unit_rows, [f[at] for f in tokens.unit_features], tokens.rank[at] % maxent.UNITS)
+    want[~tokens.unit] -= model.log_shape_total[tokens.classes[~tokens.unit] - maxent.UNIT_CLASSES]
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-4)
+    model.weights = np.zeros_like(model.weights)
+    assert not np.allclose(maxent.log_probabilities(model, tokens), got)
+
+
+def test_training_looks_for_one_exponential_a_logit(monkeypatch):
+    model = maxent.Model([(b"", 20), *((f"w{i}".encode(), 10) for i in range(1100))], np.full(maxent.SHAPE_CLASSES, 9.0),
+                         np.full(maxent.SHAPE_CLASSES, 3.0), 11_000, 1101)
+    tokens = maxent.Tokens(model, [[f"w{i}".encode() for i in range(1000)]])
+    sizes, seen, exp = maxent.Model.sizes(), [], np.exp
+    met = np.zeros(sizes[1] // maxent.CLASSES), np.zeros((sizes[2] - sizes[1]) // maxent.UNITS)
+    monkeypatch.setattr(np, "exp", lambda x, *a, **b: (seen.append(x.size), exp(x, *a, **b))[1])
+    maxent.train_on(model, model.weights.copy(), np.zeros_like(model.weights), met, tokens)
+    assert sum(seen) == len(tokens.rank) * maxent.CLASSES + int(tokens.unit.sum()) * maxent.UNITS
