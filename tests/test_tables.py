@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.operators.checks import Check, CheckFailed, not_null
 from larder.sources import tables
+from larder.sources.testshape import TestShape
 
 
 def test_sources_from_files_and_catalog(spark, tmp_path):
@@ -84,3 +85,12 @@ def test_everything_but_the_result_is_deleted(spark):
 
     result = tables.staged_alone(build, "result")
     assert len(set(os.listdir(folder)) - before) == 1 and result.count() == 2
+
+
+def test_the_buyer_log_of_one_file_comes_in_many_parts(spark, tmp_path):
+    spark.range(800).selectExpr(
+        "id AS c_custkey", "concat('Customer ', id) AS c_name", "CAST(id % 25 AS INT) AS c_nationkey", "0D AS c_acctbal",
+        "'BUILDING' AS c_mktsegment").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    parts = TestShape(spark, str(tmp_path)).buyers().groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r["count"] for r in parts) < sum(r["count"] for r in parts) / 4
