@@ -94,3 +94,29 @@ def test_the_buyer_log_of_one_file_comes_in_many_parts(spark, tmp_path):
     parts = TestShape(spark, str(tmp_path)).buyers().groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert max(r["count"] for r in parts) < sum(r["count"] for r in parts) / 4
+
+
+def test_few_demo_ids_move_no_order(spark):
+    """The list is sent to the orders also where Spark's own limit is lower; a long one is left to Spark."""
+    import datetime as dt
+
+    from larder.functions.versions import not_in, sent_if_small
+    from larder.plans.marts import Marts
+
+    ids = spark.createDataFrame([("a",), (None,), ("b",)], "id string")
+    rows = spark.createDataFrame([("a",), ("c",)], "key string")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(not_in(rows, "key", sent_if_small(ids)))
+        assert "SortMergeJoin" in plan(not_in(rows, "key", sent_if_small(ids, 100)))
+        assert "SortMergeJoin" not in plan(not_in(rows, "key", sent_if_small(ids.limit(0), 0)))
+        accounts = spark.createDataFrame([("a", True), ("c", False)], "_ID string, ISDEMOACCOUNT boolean")
+        stored = Marts(lambda name: accounts, dt.date(2001, 1, 1)).stored("demo_ids")
+        assert "BroadcastHashJoin" in plan(not_in(rows, "key", stored))
+        assert [r.key for r in not_in(rows, "key", stored).collect()] == ["c"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not_in(rows, "key", sent_if_small(ids)).collect() == []
+    assert [r.key for r in not_in(rows, "key", sent_if_small(ids.na.drop())).collect()] == ["c"]
